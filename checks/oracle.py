@@ -336,7 +336,7 @@ ORACLE: dict[str, str] = {
     ),
     "keyword_graph_central": _sql(f"{GRAPH},\n{_search(_RED_GEAR, 1000)},\n{_star(_WITH_CENTRE, CENTRE)}", _EDGE + "star"),
     "keyword_graph_fallback": _sql(
-        f"{GRAPH},\n{_search(f'''{_RED_GEAR} AND contains(lower(title), 'economy') AND {_at('I3')}''', 10)},\n{_set_edges(_HIT_PAPERS)},\n{_CITED_OR_STAR}",
+        f"{GRAPH},\n{_search(f'{_RED_GEAR} AND {_at(FALLBACK_INSTITUTION)}', 100)},\n{_set_edges(_HIT_PAPERS)},\n{_CITED_OR_STAR}",
         _EDGE + "found",
     ),
     "id_graph_1hop": _id_graph(1, 200),
@@ -352,7 +352,7 @@ ORACLE: dict[str, str] = {
     ),
     "influence_rank": _sql(f"{GRAPH},\n{_ranks('raw')}", "SELECT id, round(log10(rank), 6) AS log_rank, title FROM ranks"),
     "influence_rank_normalized": _sql(
-        f"{GRAPH},\n{_ranks('normalized')}", "SELECT id, round(rank, 6) AS rank, title FROM ranks"
+        f"{GRAPH},\n{_ranks('normalized')}", "SELECT id, round(log10(rank), 6) AS log_rank, title FROM ranks"
     ),
     "top_papers": _sql(
         f"{GRAPH},\n{_ranks('raw')}",

@@ -29,7 +29,7 @@ CENTRE = "W42"
 KEYWORDS = "red, gear"
 SEEDS = ["W1", "https://openalex.org/W2", "W3", "W700000000000"]
 VENUE, YEAR = "brand#1", 1998
-FALLBACK_VENUE, FALLBACK_INSTITUTION = "brand#7", "I3"
+FALLBACK_VENUE, FALLBACK_INSTITUTION = "brand#7", "I2"
 
 _shared: dict[tuple, object] = {}
 
@@ -250,7 +250,7 @@ def keyword_graph_central(spark, folder):
 
 
 def keyword_graph_fallback(spark, folder):
-    g = workflows.keyword_graph(records(spark, folder), "red gear economy", 10, institution="I3")
+    g = workflows.keyword_graph(records(spark, folder), KEYWORDS, 100, institution=FALLBACK_INSTITUTION)
     return _edges(g, "edge_type")
 
 
@@ -300,7 +300,7 @@ def influence_rank(spark, folder):
 
 
 def influence_rank_normalized(spark, folder):
-    return normalized_ranks(spark, folder).select("id", F.round("rank", 6).alias("rank"), "title")
+    return normalized_ranks(spark, folder).select("id", _log("rank", "log_rank"), "title")
 
 
 def top_papers(spark, folder):
