@@ -60,13 +60,13 @@ def references() -> Column:
 
 def institution_ids() -> Column:
     """All institution ids in the lineages of all authors of the work."""
-    lineages = F.flatten(
-        F.transform(
-            F.coalesce(F.col("authorships.institutions"), F.array().cast("array<array<struct<lineage:array<string>>>>")),
-            lambda per_author: F.flatten(F.coalesce(per_author["lineage"], F.array().cast("array<array<string>>"))),
-        )
-    )
-    return F.array_distinct(lineages)
+    no_ids = F.array().cast("array<string>")
+
+    def of_author(a: Column) -> Column:
+        lineages = F.transform(a["institutions"], lambda i: F.coalesce(i["lineage"], no_ids))
+        return F.coalesce(F.flatten(lineages), no_ids)
+
+    return F.coalesce(F.array_distinct(F.flatten(F.transform("authorships", of_author))), no_ids)
 
 
 def has_institution(institution: str) -> Column:

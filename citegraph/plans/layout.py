@@ -68,7 +68,7 @@ def place_by_source(
     limit = max(min_hot_edges, total // n)
     if largest <= limit:
         placed = edges.repartition(n, source).sortWithinPartitions(source)
-        return SourceLayout(placed.persist(StorageLevel.MEMORY_AND_DISK), source, n, None)
+        return SourceLayout(_kept(placed), source, n, None)
     hot = degrees.filter(F.col("_edges") > limit).select(
         source, F.ceil(F.col("_edges") / limit).cast("int").alias("_salts")
     )
@@ -80,4 +80,12 @@ def place_by_source(
         .repartition(n, source, "_salt")
         .sortWithinPartitions(source, "_salt")
     )
-    return SourceLayout(placed.persist(StorageLevel.MEMORY_AND_DISK), source, n, hot)
+    return SourceLayout(_kept(placed), source, n, hot)
+
+
+def _kept(placed: DataFrame) -> DataFrame:
+    """Fill the cache now: its partitioning is known only once it is filled. A lost
+    part is computed again from the edges."""
+    placed = placed.persist(StorageLevel.MEMORY_AND_DISK)
+    placed.count()
+    return placed
