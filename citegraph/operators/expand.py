@@ -38,16 +38,14 @@ def expand_references(
     known = frontier.select(F.col("paperId").alias("id"), RECORD_ORDER, F.lit(0).alias("hop"))
     for hop in range(1, max_hops + 1):
         cited = frontier.select("path", F.posexplode("referenced_works").alias("place", "id"))
-        cited = cited.join(known.select("id"), "id", "left_anti")
         if per_hop_limit:
-            candidates = (
-                cited.groupBy("id")
-                .agg(F.min(F.concat("path", F.array("place"))).alias("path"))
-                .orderBy("path")
-                .limit(per_hop_limit)
-            )
+            candidates = cited.groupBy("id").agg(F.min(F.concat("path", F.array("place"))).alias("path"))
         else:
             candidates = cited.select("id").distinct().withColumn("path", F.array().cast("array<int>"))
+        # One row per cited id before the join, however often it is cited.
+        candidates = candidates.join(known.select("id"), "id", "left_anti")
+        if per_hop_limit:
+            candidates = candidates.orderBy("path").limit(per_hop_limit)
         candidates = materialize(candidates)
         if candidates.isEmpty():
             break

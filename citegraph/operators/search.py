@@ -109,11 +109,17 @@ def seed_ids(spark: SparkSession, ids: list[str]) -> DataFrame:
 
 def lookup_by_ids(papers: DataFrame, ids: DataFrame) -> DataFrame:
     """Last record of every paper whose id is in ``ids`` (column ``id``, with or
-    without prefix). Unknown ids are silently absent."""
+    without prefix). Unknown ids are silently absent. The records are read once;
+    those found are combined per id before their shuffle."""
     wanted = ids.select(strip_prefix(F.col("id")).alias("paperId"))
-    found = papers.join(wanted, "paperId", "left_semi")
-    last = found.groupBy("paperId").agg(F.max(RECORD_ORDER).alias(RECORD_ORDER))
-    return found.join(last, ["paperId", RECORD_ORDER], "left_semi").select(*papers.columns)
+    rest = [c for c in papers.columns if c != "paperId"]
+    return (
+        papers.join(wanted, "paperId", "left_semi")
+        .groupBy("paperId")
+        .agg(F.max_by(F.struct(*rest), RECORD_ORDER).alias("last"))
+        .select("paperId", "last.*")
+        .select(*papers.columns)
+    )
 
 
 def preview(results: DataFrame, shown: int = 5) -> DataFrame:
