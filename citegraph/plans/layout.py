@@ -59,12 +59,16 @@ class SourceLayout:
 
 
 def place_by_source(
-    edges: DataFrame, source: str = "src", min_hot_edges: int = MIN_HOT_EDGES
+    edges: DataFrame,
+    source: str = "src",
+    min_hot_edges: int = MIN_HOT_EDGES,
+    min_edges_per_partition: int = MIN_EDGES_PER_PARTITION,
 ) -> SourceLayout:
+    """Place and cache ``edges``; the caller releases them."""
     degrees = edges.groupBy(source).agg(F.count(F.lit(1)).alias("_edges"))
     total, largest = degrees.agg(F.sum("_edges"), F.max("_edges")).first()
     total, largest = total or 0, largest or 0
-    n = min(shuffle_partitions(edges.sparkSession), max(1, total // MIN_EDGES_PER_PARTITION))
+    n = min(shuffle_partitions(edges.sparkSession), max(1, total // min_edges_per_partition))
     limit = max(min_hot_edges, total // n)
     if largest <= limit:
         placed = edges.repartition(n, source).sortWithinPartitions(source)
