@@ -20,27 +20,32 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citegraph.plans.materialize import shuffle_partitions
+from citegraph.plans.materialize import BROADCAST_MAX_ROWS, shuffle_partitions
 
 #: Sources with fewer edges than this are never split.
 MIN_HOT_EDGES = 1_000_000
 
-#: A graph with few edges is placed on fewer partitions than the session has.
-MIN_EDGES_PER_PARTITION = 5_000
+#: A small graph is placed on fewer partitions than the session has.
+MIN_EDGES_PER_PARTITION = 20_000
 
 
 @dataclass
 class SourceLayout:
-    """Edges placed by source; ``hot`` is null when no source needs salting."""
+    """Edges placed by source; ``hot`` is null when no source needs salting.
+
+    A ``small`` graph has so few edges that a row per end is broadcast instead."""
 
     edges: DataFrame
     source: str
     partitions: int
     hot: DataFrame | None
+    small: bool = False
 
     def join_state(self, state: DataFrame, how: str = "inner") -> DataFrame:
         """Join every edge with the state row of its source. ``state`` has one
         row per vertex, keyed by a column named like the source column."""
+        if self.small:
+            return self.edges.join(F.broadcast(state), self.source, how)
         keys = [self.source]
         if self.hot is not None:
             keys.append("_salt")
@@ -50,8 +55,6 @@ class SourceLayout:
                 .withColumn("_salt", F.explode(salts))
                 .drop("_salts")
             )
-        if self.partitions != shuffle_partitions(state.sparkSession):
-            state = state.repartition(self.partitions, *keys)
         return self.edges.join(state.hint("merge"), keys, how).drop("_salt")
 
     def release(self) -> None:
@@ -62,14 +65,19 @@ def place_by_source(
     edges: DataFrame,
     source: str = "src",
     min_hot_edges: int = MIN_HOT_EDGES,
-    min_edges_per_partition: int = MIN_EDGES_PER_PARTITION,
+    broadcast_max_rows: int = BROADCAST_MAX_ROWS,
 ) -> SourceLayout:
-    """Place and cache ``edges``; the caller releases them."""
+    """Place and cache ``edges``; the caller releases them. A state has at most one
+    row per end of an edge, so the counted edges bound what a small graph
+    broadcasts."""
     degrees = edges.groupBy(source).agg(F.count(F.lit(1)).alias("_edges"))
     total, largest = degrees.agg(F.sum("_edges"), F.max("_edges")).first()
     total, largest = total or 0, largest or 0
-    n = min(shuffle_partitions(edges.sparkSession), max(1, total // min_edges_per_partition))
+    n = shuffle_partitions(edges.sparkSession)
     limit = max(min_hot_edges, total // n)
+    if largest <= limit and total <= broadcast_max_rows:
+        n = min(n, max(1, total // MIN_EDGES_PER_PARTITION))
+        return SourceLayout(_kept(edges.repartition(n, source)), source, n, None, small=True)
     if largest <= limit:
         placed = edges.repartition(n, source).sortWithinPartitions(source)
         return SourceLayout(_kept(placed), source, n, None)

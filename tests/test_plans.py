@@ -70,7 +70,7 @@ def test_citation_edges_need_no_dedupe_shuffle(spark):
 
 
 def test_a_round_shuffles_only_its_messages(spark):
-    layout = place_by_source(Q.graph(spark, SF).edges.select("src", "dst", "weight"))
+    layout = place_by_source(Q.graph(spark, SF).edges.select("src", "dst", "weight"), broadcast_max_rows=0)
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", str(layout.partitions))
     try:
