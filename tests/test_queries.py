@@ -2,6 +2,8 @@ import pytest
 
 import __spark_entry__ as entry_point
 from checks.compare import connect, differences
+from checks.oracle import ORACLE
+from checks.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 ROWS_ONLY = {"louvain", "louvain_stats"}
@@ -13,7 +15,8 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry_point.queries()) - set(entry_point.oracle_sql()) == ROWS_ONLY
+    assert set(QUERIES) - set(ORACLE) == ROWS_ONLY
+    assert set(QUERIES) <= set(entry_point.queries())
     assert set(entry_point.oracle_sql()) <= set(entry_point.queries())
 
 
@@ -22,7 +25,7 @@ def test_entry(spark):
     assert top.columns == ["id", "title", "log_rank"] and top.count() == 10
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_sql(spark, con, name):
     _, problem = differences(entry_point.queries()[name](spark, SF), con, entry_point.oracle_sql()[name])
     assert not problem
