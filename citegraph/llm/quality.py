@@ -4,7 +4,9 @@ Every rule looks at one statistic of a text and votes good, bad or abstains. A
 two-class latent model with class-conditional vote rates (Dawid and Skene) is fitted
 by expectation-maximisation on the table of distinct vote patterns, which has at most
 ``3 ** len(RULES)`` rows whatever the number of documents. The posterior probability
-of the good class, not the conjunction of all rules, decides which documents stay.
+of the good class, not the conjunction of all rules, decides which documents stay. A rule
+that abstains carries no evidence. Junk of each kind breaks two rules or more, which is
+what lets the model tell a class of junk from a rule that errs.
 
 Defined results: a null text counts as a text without words; empty and wordless texts
 have all counts 0 and fail the base rule; repeated rows and repeated ids are each
@@ -20,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from citegraph.llm.common import BLANK, materialize
+from citegraph.llm.common import WORD, materialize
 
 MIN_WORDS = 50
 KEEP_AT = 0.5
@@ -48,72 +50,73 @@ RULES = (
     Rule("symbols", "10 * n_symbols > n_words", "50 * n_symbols <= n_words"),
     Rule("repeats", "10 * n_repeat_words > 3 * n_words", "10 * n_repeat_words <= n_words"),
     Rule("lines", "n_lines > 1 and 10 * n_dup_lines > 3 * n_lines", "n_lines > 1 and 10 * n_dup_lines <= n_lines"),
-    Rule("capitals", "10 * n_capitals > 3 * word_chars", "20 * n_capitals <= 3 * word_chars"),
+    Rule("capitals", "10 * n_capitals > 3 * n_words", "10 * n_capitals <= n_words"),
     Rule("shouting", "10 * n_marks > n_words", "50 * n_marks <= n_words"),
     Rule("fields", "20 * n_bars > n_words", "n_bars = 0"),
+    Rule("punctuation", "10 * (n_symbols + n_marks) > word_chars", "50 * (n_symbols + n_marks) <= word_chars"),
+    Rule("variety", "10 * n_distinct_words < 3 * n_words", "2 * n_distinct_words >= n_words"),
 )
 
 STATISTICS = (
     "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_capitals", "n_marks", "n_bars",
+    "n_distinct_words",
 )
 
 
-def _length_without(text: Column, characters: str) -> Column:
-    return F.length(text) - F.length(F.translate(text, characters, ""))
-
-
 def text_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     """Adds the columns ``STATISTICS`` (long), each computed within its row.
 
     ``n_repeat_words`` counts the words that lie in a three-word window which the text
-    has twice or more. Windows are compared by a 64-bit hash within their text only.
+    has twice or more. Windows are compared by a 64-bit hash within their text only, and
+    sorted only in texts that have a hash twice. ``n_capitals`` counts the words written
+    in capitals, ``n_marks`` exclamation and question marks, ``n_bars`` vertical bars.
     """
     body = F.coalesce(F.col(text), F.lit(""))
-    words = F.filter(F.split(body, BLANK), lambda w: w != "")
-    lines = F.filter(F.split(body, "\n"), lambda x: F.translate(x, " \t\x0b\x0c\r", "") != "")
-
-    def windows(w: Column) -> Column:
-        made = F.transform(
-            F.sequence(F.lit(0), F.size(w) - 3),
-            lambda i: F.struct(F.xxhash64(w[i], w[i + 1], w[i + 2]).alias("h"), i.alias("i")),
-        )
-        return F.sort_array(F.when(F.size(w) >= 3, made).otherwise(F.array().cast("array<struct<h:bigint,i:int>>")))
-
-    def repeated(s: Column) -> Column:
-        same = lambda x, k: (F.get(s, k - 1)["h"] == x["h"]) | (F.get(s, k + 1)["h"] == x["h"])
-        kept = F.filter(s, lambda x, k: F.coalesce(same(x, k), (F.get(s, k + 1)["h"] == x["h"]), F.lit(False)))
-        return F.sort_array(F.transform(kept, lambda x: x["i"]))
-
-    def covered(p: Column) -> Column:
-        steps = F.transform(p, lambda x, k: F.least(F.lit(3), F.coalesce(F.get(p, k + 1) - x, F.lit(3))))
-        return F.aggregate(steps, F.lit(0).cast("bigint"), lambda a, x: a + x)
-
-    let = lambda value, body: F.transform(F.array(value), body)[0]  # noqa: E731  evaluates value once
-    from_words = let(
-        words,
-        lambda w: F.struct(
-            F.size(w).cast("bigint").alias("n_words"),
-            F.length(F.array_join(w, "")).cast("bigint").alias("word_chars"),
-            let(windows(w), lambda s: let(repeated(s), covered)).alias("n_repeat_words"),
-        ),
+    spaced = body
+    for blank in "\t\n\x0b\x0c\r":
+        spaced = F.replace(spaced, F.lit(blank), F.lit(" "))
+    lines = F.filter(F.split(body, "\n"), lambda x: F.rlike(x, F.lit(WORD)))
+    hashes = F.transform(
+        F.sequence(F.lit(0), F.size("_words") - 3), lambda i: F.xxhash64(F.col("_words")[i], F.col("_words")[i + 1], F.col("_words")[i + 2])
     )
-    from_lines = let(
-        lines,
-        lambda x: F.struct(
-            F.size(x).cast("bigint").alias("n_lines"), (F.size(x) - F.size(F.array_distinct(x))).cast("bigint").alias("n_dup_lines")
-        ),
+    let = lambda value, made: F.transform(F.array(value), made)[0]  # noqa: E731  evaluates value once
+
+    def covered(h: Column) -> Column:
+        def alike(s: Column) -> Column:
+            same = lambda x, k: F.coalesce(F.get(s, k - 1)["h"] == x["h"], F.lit(False)) | F.coalesce(F.get(s, k + 1)["h"] == x["h"], F.lit(False))
+            return F.sort_array(F.transform(F.filter(s, same), lambda x: x["i"]))
+
+        def words(p: Column) -> Column:
+            steps = F.transform(p, lambda x, k: F.least(F.lit(3), F.coalesce(F.get(p, k + 1) - x, F.lit(3))))
+            return F.aggregate(steps, F.lit(0).cast("bigint"), lambda n, x: n + x)
+
+        placed = F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i")))
+        return let(F.sort_array(placed), lambda s: let(alike(s), words))
+
+    none = F.array().cast("array<bigint>")
+    shouted = F.filter("_words", lambda w: (w == F.upper(w)) & (w != F.lower(w)))
+    return (
+        docs.withColumns({"_spaced": spaced, "_lines": lines})
+        .withColumn("_words", F.filter(F.split("_spaced", " "), lambda w: w != ""))
+        .withColumn("_hashes", F.when(F.size("_words") >= 3, hashes).otherwise(none))
+        .withColumns(
+            {
+                "n_words": F.size("_words").cast("bigint"),
+                "word_chars": F.length(F.replace("_spaced", F.lit(" "))).cast("bigint"),
+                "n_symbols": F.regexp_count(body, F.lit(r"[#*$%&|<>]")).cast("bigint"),
+                "n_lines": F.size("_lines").cast("bigint"),
+                "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("bigint"),
+                "n_repeat_words": F.when(
+                    F.size(F.array_distinct("_hashes")) < F.size("_hashes"), covered(F.col("_hashes"))
+                ).otherwise(0),
+                "n_capitals": F.size(shouted).cast("bigint"),
+                "n_marks": F.regexp_count(body, F.lit("[!?]")).cast("bigint"),
+                "n_bars": (F.length("_spaced") - F.length(F.replace("_spaced", F.lit("|")))).cast("bigint"),
+                "n_distinct_words": F.size(F.array_distinct("_words")).cast("bigint"),
+            }
+        )
+        .drop("_spaced", "_lines", "_words", "_hashes")
     )
-    capitals = F.length(body) - F.length(F.regexp_replace(body, r"\p{Lu}+", ""))
-    return docs.withColumns({"_words": from_words, "_lines": from_lines}).withColumns(
-        {
-            **{c: F.col(f"_words.{c}") for c in ("n_words", "word_chars", "n_repeat_words")},
-            **{c: F.col(f"_lines.{c}") for c in ("n_lines", "n_dup_lines")},
-            "n_symbols": _length_without(body, "#*$%&|<>").cast("bigint"),
-            "n_marks": _length_without(body, "!?").cast("bigint"),
-            "n_bars": _length_without(body, "|").cast("bigint"),
-            "n_capitals": capitals.cast("bigint"),
-        }
-    ).drop("_words", "_lines")
 
 
 def votes(stats: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -135,21 +138,25 @@ def fit(voted: DataFrame, rules: tuple[Rule, ...] = RULES, rounds: int = EM_ROUN
     """
     names = [f"vote_{r.name}" for r in rules]
     patterns = materialize(voted.groupBy(*names).agg(F.count("*").alias("n")))
-    posterior = F.when(F.least(*(F.when(F.col(v) == 0, 0).otherwise(1) for v in names)) == 0, 0.1).otherwise(0.9)
-    model: dict = {}
+    cast = [(v, k) for v in names for k in (0, 1)]
+
+    def sums(weight: Column) -> list[float]:
+        """Of the weights in all, and of those with each vote."""
+        weighed = patterns.withColumn("_weight", weight)
+        parts = [F.sum("_weight"), *(F.sum(F.when(F.col(v) == k, F.col("_weight"))) for v, k in cast)]
+        return [float(x or 0) for x in weighed.agg(*parts).first()]
+
+    every = sums(F.col("n").cast("double"))
+    any_bad = F.least(*(F.when(F.col(v) == 0, 0).otherwise(1) for v in names)) == 0
+    posterior, model = F.when(any_bad, 0.1).otherwise(0.9), {}
     for _ in range(rounds):
-        good, bad = F.col("n") * posterior, F.col("n") * (1 - posterior)
-        sums = [F.sum(good).alias("good"), F.sum(bad).alias("bad")]
-        for v in names:
-            for k in (-1, 0, 1):
-                hit = F.col(v) == k
-                sums += [F.sum(F.when(hit, good)).alias(f"{v}{k}_good"), F.sum(F.when(hit, bad)).alias(f"{v}{k}_bad")]
-        row = {k: x or 0.0 for k, x in patterns.agg(*sums).first().asDict().items()}
-        model = {"prior": math.log((row["good"] + SMOOTHING) / (row["bad"] + SMOOTHING))}
-        for v in names:
-            for k in (-1, 0, 1):
-                rate = {c: (row[f"{v}{k}_{c}"] + SMOOTHING) / (row[c] + 3 * SMOOTHING) for c in ("good", "bad")}
-                model[v, k] = math.log(rate["good"] / rate["bad"])
+        good = sums(F.col("n") * posterior)
+        bad = [a - b for a, b in zip(every, good, strict=True)]
+        model = {"prior": math.log((good[0] + SMOOTHING) / (bad[0] + SMOOTHING))}
+        for i in range(1, len(cast), 2):
+            of_good, of_bad = good[i] + good[i + 1] + 2 * SMOOTHING, bad[i] + bad[i + 1] + 2 * SMOOTHING
+            for j in (i, i + 1):
+                model[cast[j - 1]] = math.log((good[j] + SMOOTHING) / of_good) - math.log((bad[j] + SMOOTHING) / of_bad)
         posterior = quality_probability(model, rules)
     return model
 
@@ -159,7 +166,7 @@ def quality_probability(model: dict, rules: tuple[Rule, ...] = RULES) -> Column:
     logit = F.lit(model["prior"])
     for r in rules:
         v = f"vote_{r.name}"
-        logit = logit + F.when(F.col(v) == 1, model[v, 1]).when(F.col(v) == 0, model[v, 0]).otherwise(model[v, -1])
+        logit = logit + F.when(F.col(v) == 1, model[v, 1]).when(F.col(v) == 0, model[v, 0]).otherwise(0.0)
     return 1 / (1 + F.exp(-logit))
 
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citegraph.llm import byte_bpe, chat, lang_id, quality, secrets, toxicity
+from citegraph.llm import byte_bpe, chat, lang_id, quality, rotated_codes, secrets, site_tree, toxicity
 from citegraph.llm.common import crc_bucket, materialize, prefixed, table
 
 
@@ -33,6 +33,16 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = prefixed(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return rotated_codes.neighbours(vectors, F.col("vec_id") % 100 == 0, k=10)
+
+
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = prefixed(table(spark, sf_dir, "pages"), "page_id", "url", "html")
+    return site_tree.main_text(pages).withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = prefixed(table(spark, sf_dir, "documents"), "doc_id", "text")
     narrow = materialize(quality.text_statistics(docs).drop("text"))
@@ -59,5 +69,5 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_secret_scans, op3_byte_bpe, op4_toxicity, op8_quality_rules, op9_language_id, op10_chat_formatting)
+    for f in (op1_secret_scans, op3_byte_bpe, op4_toxicity, op5_nearest_neighbours, op6_html_extraction, op8_quality_rules, op9_language_id, op10_chat_formatting)
 }

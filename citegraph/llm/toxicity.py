@@ -38,8 +38,8 @@ ORDER, BITS = 5, 10
 DISCOUNT = 0.75
 #: Share of the lowest order spread evenly over the letters of an alphabet of about this size.
 ALPHABET = 64
-#: A prime; the capacity of each of the two tables that scoring broadcasts.
-SLOTS = 4_194_301
+#: A prime far from powers of two, as keys are packed in bits; the capacity of each of the two tables that scoring broadcasts.
+SLOTS = 4_000_037
 #: One of this many training rows fits the logistic function and is not counted.
 HELD_FOR_FIT = 5
 FIT_ROUNDS, RIDGE = 12, 1e-2
