@@ -95,7 +95,7 @@ def text_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
 
     none = F.array().cast("array<bigint>")
     shouted = F.filter("_words", lambda w: (w == F.upper(w)) & (w != F.lower(w)))
-    return (
+    counted = (
         docs.withColumns({"_spaced": spaced, "_lines": lines})
         .withColumn("_words", F.filter(F.split("_spaced", " "), lambda w: w != ""))
         .withColumn("_hashes", F.when(F.size("_words") >= 3, hashes).otherwise(none))
@@ -115,8 +115,10 @@ def text_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
                 "n_distinct_words": F.size(F.array_distinct("_words")).cast("bigint"),
             }
         )
-        .drop("_spaced", "_lines", "_words", "_hashes")
     )
+    # a generator keeps filters on the statistics from being rewritten into their computation
+    kept = [c for c in docs.columns if c not in STATISTICS]
+    return counted.select(*kept, F.inline(F.array(F.struct(*STATISTICS))))
 
 
 def votes(stats: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:

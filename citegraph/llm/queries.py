@@ -6,11 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citegraph.llm import byte_bpe, chat, lang_id, quality, rotated_codes, secrets, site_tree, toxicity
+from citegraph.llm import byte_bpe, chat, lang_id, near_dups, packing, quality, rotated_codes, secrets, site_tree, toxicity
 from citegraph.llm.common import crc_bucket, materialize, prefixed, table
 
 
-RANKS = "byte_bpe_50k.tiktoken"
+RANKS, VOCABULARY = "byte_bpe_50k.tiktoken", "byte_bpe_50k.json"
 
 
 def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +19,11 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumns(secrets.span_digests(F.col("found"))).drop("found")
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dups.near_duplicates(prefixed(table(spark, sf_dir, "documents"), "doc_id", "text"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = prefixed(table(spark, sf_dir, "documents"), "doc_id", "text")
     return byte_bpe.text_digests(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN).drop("text")
@@ -43,6 +48,11 @@ def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_tree.main_text(pages).withColumn("n_chars", F.length("text").cast("bigint"))
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = prefixed(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return packing.pack(docs, public_tokenizers.path(VOCABULARY))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = prefixed(table(spark, sf_dir, "documents"), "doc_id", "text")
     narrow = materialize(quality.text_statistics(docs).drop("text"))
@@ -69,5 +79,8 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_secret_scans, op3_byte_bpe, op4_toxicity, op5_nearest_neighbours, op6_html_extraction, op8_quality_rules, op9_language_id, op10_chat_formatting)
-}
+    for f in (
+        op1_secret_scans, op2_near_duplicates, op3_byte_bpe, op4_toxicity, op5_nearest_neighbours,
+        op6_html_extraction, op7_packing, op8_quality_rules, op9_language_id, op10_chat_formatting,
+    )
+}
