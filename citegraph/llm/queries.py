@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from citegraph.llm import byte_bpe, chat, lang_id, near_dups, packing, quality, rotated_codes, secrets, site_tree, toxicity
 from citegraph.llm.common import crc_bucket, materialize, prefixed, table
+from citegraph.plans.materialize import broadcast_if_small
 
 
 RANKS, VOCABULARY = "byte_bpe_50k.tiktoken", "byte_bpe_50k.json"
@@ -32,8 +33,9 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = prefixed(table(spark, sf_dir, "documents"), "doc_id", "text")
     docs = docs.withColumn("held_out", F.coalesce(crc_bucket("doc_id", 3) == 1, F.lit(False)))
-    labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    training = docs.where(~F.col("held_out")).join(labels, "doc_id").select("text", "toxic", F.col("doc_id").alias("row"))
+    labels = materialize(table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
+    # two numbers a row; while there are few, the texts need not move
+    training = docs.where(~F.col("held_out")).join(broadcast_if_small(labels), "doc_id").select("text", "toxic", F.col("doc_id").alias("row"))
     scored = toxicity.toxicity_scores(docs, training)
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
