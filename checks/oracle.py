@@ -9,8 +9,6 @@ from __future__ import annotations
 
 from checks.queries import CENTRE, FALLBACK_INSTITUTION, FALLBACK_VENUE, SEEDS, VENUE, YEAR
 from citegraph.functions.text import CATALOGUE_PREFIX, STRIP_CHARS
-from citegraph.operators.render import COMMUNITY_COLORS, EDGE_COLORS
-from citegraph.sources.tables import OUTSIDE_OFFSET, SECOND_RECORD_OFFSET, SLOTS, WORKS_PER_PART
 
 P = CATALOGUE_PREFIX
 
@@ -19,25 +17,13 @@ def _strip(x: str) -> str:
     return f"trim({x}, '{STRIP_CHARS}')"
 
 
-def _slots(kind: str, expr: str) -> str:
-    return ", ".join(expr.format(c=f"{kind}_{end}_{s}", s=s) for s in range(SLOTS) for end in ("lo", "hi"))
-
-
-_AGGREGATES = ",\n  ".join(
-    f"{f}({col}) FILTER (l_linenumber % {SLOTS} = {s}) AS {kind}_{end}_{s}"
-    for s in range(SLOTS)
-    for kind, col in (("part", "l_partkey"), ("supp", "l_suppkey"))
-    for end, f in (("lo", "min"), ("hi", "max"))
-)
-
 WORKS = f"""
-lines AS (SELECT l_orderkey AS lk, min(l_partkey) AS topic_part,
-  {_AGGREGATES}
-  FROM lineitem GROUP BY l_orderkey),
-base AS (SELECT o_orderkey AS k, topic_part, p_brand, p_size, o_orderdate, c_nationkey, n_regionkey,
-    CASE WHEN p_name IS NOT NULL THEN concat_ws(' ', p_name, lower(p_type)) END AS name,
-    [{_slots('part', f'{{c}} * {WORKS_PER_PART} + {{s}}')}] AS cited,
-    [{_slots('supp', '{c}')}] AS suppliers
+order_sizes AS (SELECT l_orderkey AS sk, (count(*) + 7) // 8 AS blocks FROM lineitem GROUP BY l_orderkey),
+lines AS (SELECT l_orderkey AS lk, (l_partkey * 31 + l_suppkey * 7 + l_linenumber) % blocks AS block, min(l_partkey) AS topic_part,
+    list_sort(list(DISTINCT l_partkey * 7 + l_linenumber % 8)) AS cited, list_sort(list(DISTINCT l_suppkey)) AS suppliers
+  FROM lineitem JOIN order_sizes ON sk = l_orderkey GROUP BY lk, block),
+base AS (SELECT o_orderkey + coalesce(block, 0) * 10000000000000 AS k, topic_part, p_brand, p_size, o_orderdate, c_nationkey, n_regionkey,
+    CASE WHEN p_name IS NOT NULL THEN concat_ws(' ', p_name, lower(p_type)) END AS name, coalesce(cited, []) AS cited, suppliers
   FROM orders LEFT JOIN lines ON lk = o_orderkey
   LEFT JOIN part ON p_partkey = topic_part
   LEFT JOIN customer ON c_custkey = o_custkey
@@ -50,16 +36,16 @@ first_works AS (SELECT k AS record_seq, '{P}W' || k AS id,
     CASE WHEN topic_part IS NOT NULL THEN [{{
       'id': CASE WHEN s % 17 <> 0 THEN '{P}A' || s END,
       'name': CASE WHEN s % 23 = 0 THEN NULL WHEN k % 11 = 0 THEN 'SUPPLIER#' || lpad(CAST(s AS VARCHAR), 9, '0') ELSE 'Supplier#' || lpad(CAST(s AS VARCHAR), 9, '0') END
-      }} FOR s IN suppliers IF s IS NOT NULL] END AS authorships,
+      }} FOR s IN suppliers] END AS authorships,
     CASE WHEN topic_part IS NOT NULL THEN ['I' || c_nationkey, 'R' || n_regionkey] ELSE [] END AS institutions,
-    list_concat(['{P}W' || c FOR c IN cited IF c IS NOT NULL], ['{P}W' || (k + {OUTSIDE_OFFSET})],
+    list_concat(['{P}W' || c FOR c IN cited], ['{P}W' || (k + 100000000000)],
       CASE WHEN k % 10 = 0 THEN ['', NULL, ' W7 '] ELSE [] END,
       CASE WHEN k % 500 = 9 THEN ['{P}W' || k] ELSE [] END,
       CASE WHEN k % 97 = 0 THEN ['{P}W' || (k + 1)] WHEN k % 97 = 1 THEN ['{P}W' || (k - 1)] ELSE [] END) AS referenced_works,
     CASE WHEN k % 40 <> 6 THEN CAST(p_size AS INTEGER) END AS cited_by_count
   FROM base),
 works AS (SELECT * FROM first_works UNION ALL
-  SELECT record_seq + {SECOND_RECORD_OFFSET}, id, title || ' v2', display_name, publication_year, source_name, authorships,
+  SELECT record_seq + 1000000000000, id, title || ' v2', display_name, publication_year, source_name, authorships,
     institutions, list_concat(referenced_works, ['{P}W' || (record_seq + 3)]), cited_by_count
   FROM first_works WHERE record_seq % 25 = 2)"""
 
@@ -85,12 +71,12 @@ def _sql(clauses: str, select: str) -> str:
     return f"WITH {clauses.strip()}\n{select}"
 
 
-def _dedupe(kept: str) -> str:
+def _dedupe(kept: str, columns: str = "paper_id, title, record_seq") -> str:
     order = "CASE WHEN contains(title, 'v2') THEN 1 ELSE 2 END"
     by = {"last": "record_seq DESC", "first": "record_seq", "hop": f"{order}, record_seq"}[kept]
     return _sql(
         RECORDS,
-        f"""SELECT paper_id, title, record_seq FROM
+        f"""SELECT {columns} FROM
   (SELECT *, row_number() OVER (PARTITION BY paper_id ORDER BY {by}) AS rn FROM p) WHERE rn = 1""",
     )
 
@@ -141,9 +127,9 @@ _CITED_OR_STAR = f"""{_STAR_FALLBACK},
 found AS (SELECT src, dst, 'citation' AS edge_type FROM c
   UNION ALL SELECT src, dst, 'fallback' FROM spokes WHERE NOT EXISTS (SELECT 1 FROM c))"""
 
-_CITED_OR_PAIRS = """found AS (SELECT src, dst FROM c
-  UNION ALL SELECT a.paper_id, b.paper_id FROM s a JOIN s b ON a.paper_id < b.paper_id WHERE NOT EXISTS (SELECT 1 FROM c)),
-mirrored AS (SELECT src, dst FROM found UNION ALL SELECT dst, src FROM found)"""
+_CITED_OR_STAR_BOTH = f"""{_STAR_FALLBACK},
+mirrored AS (SELECT src, dst FROM c UNION ALL SELECT dst, src FROM c
+  UNION ALL SELECT src, dst FROM spokes WHERE NOT EXISTS (SELECT 1 FROM c))"""
 
 _VERTEX_PAPERS = "SELECT id AS paper_id, refs FROM v"
 _EDGE = "SELECT src, dst, 1.0::DOUBLE AS weight, edge_type FROM "
@@ -231,7 +217,9 @@ scaled AS (SELECT v.id, v.title, v.year, v.venue, place, coalesce(top.rank, low)
     CASE WHEN high > low THEN (coalesce(top.rank, low) - low) / (high - low) ELSE 0.5 END AS t
   FROM v LEFT JOIN top USING (id), span)"""
 
-_PALETTE = "[" + ", ".join(f"'{c}'" for c in COMMUNITY_COLORS) + "]"
+# Fixed values of the drawing tables.
+_PALETTE = """['#e6194b', '#3cb44b', '#ffe119', '#4363d8', '#f58231', '#911eb4', '#42d4f4', '#f032e6', '#bfef45', '#fabed4',
+  '#469990', '#dcbeff', '#9a6324', '#fffac8', '#800000', '#aaffc3', '#808000', '#ffd8b1', '#000075', '#a9a9a9']"""
 _LABEL = "CASE WHEN place <= 10 THEN CASE WHEN length(title) > 40 THEN substr(title, 1, 40) || '...' ELSE title END ELSE ' ' END"
 _TOOLTIP_TAIL = "'\n' || 'PageRank: ' || printf('%.4f', rank)"
 
@@ -249,7 +237,9 @@ _RENDER_BY_RANK = f"""SELECT id, round(15 + 35 * t, 6)::DOUBLE AS size, {_LABEL}
   coalesce(nullif(title, ''), 'Untitled') || '\nVenue: ' || venue || '\nYear: ' || year || '\nCommunity: 0' || {_TOOLTIP_TAIL} AS tooltip
   FROM scaled"""
 
-_EDGE_COLOR = "CASE edge_type " + " ".join(f"WHEN '{k}' THEN '{c}'" for k, c in EDGE_COLORS.items()) + " END"
+_EDGE_COLOR = """CASE edge_type WHEN 'citation' THEN 'rgba(90, 130, 180, 0.4)' WHEN 'central_cites' THEN 'rgba(40, 120, 200, 0.6)'
+  WHEN 'cites_central' THEN 'rgba(40, 120, 200, 0.6)' WHEN 'seed_cite' THEN 'rgba(90, 130, 180, 0.4)'
+  WHEN 'fallback' THEN 'rgba(160, 160, 160, 0.25)' END"""
 
 _NEIGHBOURS = f"""und AS MATERIALIZED (SELECT src AS f, dst AS t FROM e UNION ALL SELECT dst, src FROM e),
 n1 AS (SELECT DISTINCT t AS id FROM und WHERE f = '{CENTRE}'),
@@ -277,11 +267,35 @@ def _id_graph(hops: int, cap: int | None) -> str:
 
 def _publication_graph(match: str, limit: int) -> str:
     return _sql(
-        f"{GRAPH},\n{_search(match, limit)},\n{_set_edges(_HIT_PAPERS)},\n{_CITED_OR_PAIRS}", _PLAIN_EDGE + "mirrored"
+        f"{GRAPH},\n{_search(match, limit)},\n{_set_edges(_HIT_PAPERS)},\n{_CITED_OR_STAR_BOTH}", _PLAIN_EDGE + "mirrored"
     )
 
 
+_WEIGHTED = GRAPH.replace("SELECT src, dst, 1.0::DOUBLE AS weight", "SELECT src, dst, 0.25::DOUBLE * (1 + CAST(substr(src, 2) AS BIGINT) % 4) AS weight")
+
 ORACLE: dict[str, str] = {
+    "line_coverage": """SELECT count(DISTINCT (l_orderkey, l_partkey * 7 + l_linenumber % 8)) AS n_cited,
+  count(DISTINCT (l_orderkey, l_suppkey)) AS n_authors FROM lineitem""",
+    "papers_from_json": _sql(RECORDS, "SELECT paper_id, title, year, CAST(len(refs) AS INTEGER) AS n_refs FROM p"),
+    "rejected_records": _sql(
+        RECORDS,
+        """SELECT count(*) AS n_records, count(*) FILTER (record_seq % 10 = 0) AS n_rejected,
+  count(*) FILTER (record_seq % 10 IN (0, 1)) AS n_without_id FROM p""",
+    ),
+    "publication_graph_too_small": "SELECT 'a' AS src, 'b' AS dst, 1.0::DOUBLE AS weight, 'citation' AS edge_type WHERE false",
+    "weighted_rank": _sql(f"{_WEIGHTED},\n{_ranks('raw')}", "SELECT id, round(log10(rank), 6) AS log_rank FROM ranks"),
+    "weighted_rank_normalized": _sql(
+        f"{_WEIGHTED},\n{_ranks('normalized')}", "SELECT id, round(log10(rank), 6) AS log_rank FROM ranks"
+    ),
+    "weighted_undirected": _sql(
+        _WEIGHTED, "SELECT least(src, dst) AS a, greatest(src, dst) AS b, sum(weight) AS weight FROM e GROUP BY 1, 2"
+    ),
+    "weighted_modularity": _sql(f"{_WEIGHTED},\n{_modularity('SELECT id, year AS c FROM v')}", "SELECT q FROM q"),
+    "weighted_render_edges": _sql(
+        _WEIGHTED,
+        """SELECT src, dst, round(0.3 + 3 * weight, 6)::DOUBLE AS thickness, 'rgba(90, 130, 180, 0.4)' AS color, 'to' AS arrows,
+  'Type: ' || edge_type || '\nWeight: ' || printf('%.3f', weight) AS tooltip FROM e""",
+    ),
     "normalize_papers": _sql(RECORDS, "SELECT paper_id, title, venue, year, cited_by_count, record_seq FROM p"),
     "normalize_authors": _sql(
         RECORDS,
@@ -295,6 +309,8 @@ ORACLE: dict[str, str] = {
     "dedupe_last_wins": _dedupe("last"),
     "dedupe_first_wins": _dedupe("first"),
     "dedupe_lowest_hop": _dedupe("hop"),
+    "json_last_wins": _dedupe("last", "paper_id, title"),
+    "json_first_wins": _dedupe("first", "paper_id, title"),
     "safe_payload_names": _sql(
         RECORDS,
         r"""SELECT paper_id, record_seq,
@@ -325,10 +341,6 @@ ORACLE: dict[str, str] = {
         f"{GRAPH},\ns AS ({_VERTEX_PAPERS}),\n{_STAR_FALLBACK}",
         "SELECT src, dst, 1.0::DOUBLE AS weight, 'fallback' AS edge_type FROM spokes",
     ),
-    "all_pairs_edges": _sql(
-        f"{RECORDS},\n{_search(_venue(VENUE), 300)}",
-        "SELECT a.paper_id AS src, b.paper_id AS dst, 1.0::DOUBLE AS weight FROM hits a JOIN hits b ON a.paper_id < b.paper_id",
-    ),
     "symmetrized_edges": _sql(GRAPH, "SELECT src, dst, weight FROM e UNION ALL SELECT dst, src, weight FROM e"),
     "symmetrized_edges_distinct": _sql(GRAPH, "SELECT src, dst, weight FROM e UNION SELECT dst, src, weight FROM e"),
     "keyword_graph": _sql(
@@ -339,7 +351,7 @@ ORACLE: dict[str, str] = {
         f"{GRAPH},\n{_search(f'{_RED_GEAR} AND {_at(FALLBACK_INSTITUTION)}', 100)},\n{_set_edges(_HIT_PAPERS)},\n{_CITED_OR_STAR}",
         _EDGE + "found",
     ),
-    "id_graph_1hop": _id_graph(1, 200),
+    "id_graph_1hop": _id_graph(1, None),
     "id_graph_2hop": _id_graph(2, None),
     "id_graph_capped": _id_graph(2, 5),
     "expand_2hop": _sql(f"{GRAPH},\n{_expand(2, None)}", "SELECT id, hop FROM k2"),
@@ -381,8 +393,7 @@ ORACLE: dict[str, str] = {
     ),
     "community_summary": _sql(
         f"{GRAPH},\n{_labels()},\n{_CANONICAL}",
-        """SELECT community, CAST(count(*) AS BIGINT) AS size, min(id) AS first_id, max(id) AS last_id,
-  CAST(count(*) AS INTEGER) AS n_papers FROM comm GROUP BY community""",
+        "SELECT community, CAST(size AS BIGINT) AS size, id, v.title FROM comm JOIN v USING (id)",
     ),
     "render_nodes": _sql(f"{GRAPH},\n{_ranks('normalized')},\n{_labels()},\n{_CANONICAL},\n{_TOP}", _RENDER_NODES),
     "render_nodes_by_rank": _sql(f"{GRAPH},\n{_ranks('normalized')},\n{_TOP}", _RENDER_BY_RANK),
@@ -393,7 +404,7 @@ ORACLE: dict[str, str] = {
     ),
     "render_edges_untyped": _sql(
         GRAPH,
-        f"""SELECT src, dst, 3.3::DOUBLE AS thickness, '{EDGE_COLORS["citation"]}' AS color, 'to' AS arrows,
+        """SELECT src, dst, 3.3::DOUBLE AS thickness, 'rgba(90, 130, 180, 0.4)' AS color, 'to' AS arrows,
   'Weight: 1.000' AS tooltip FROM e""",
     ),
     "render_tables_roundtrip": _sql(

@@ -23,7 +23,7 @@ from citegraph.plans import workflows
 from citegraph.plans.materialize import checkpoint_dir, materialize
 from citegraph.sources import graph_store
 from citegraph.sources import works as work_files
-from citegraph.sources.tables import works_from_tables
+from citegraph.sources.tables import lines_per_block, works_from_tables
 
 CENTRE = "W42"
 KEYWORDS = "red, gear"
@@ -122,6 +122,22 @@ def sanitize_references(spark, folder):
     )
 
 
+def _json_records(spark, folder) -> DataFrame:
+    """The raw works from JSON files that hold them in order, without a number."""
+    path = f"{checkpoint_dir(spark)}/works-{uuid.uuid4().hex}"
+    ordered = raw_works(spark, folder).repartitionByRange(5, "record_seq").sortWithinPartitions("record_seq")
+    ordered.drop("record_seq").write.json(path)
+    return normalize_works(work_files.read_works(spark, path))
+
+
+def json_last_wins(spark, folder):
+    return _deduped(dedupe.keep_last(_json_records(spark, folder))).drop("record_seq")
+
+
+def json_first_wins(spark, folder):
+    return _deduped(dedupe.keep_first(_json_records(spark, folder))).drop("record_seq")
+
+
 def _deduped(papers: DataFrame) -> DataFrame:
     return papers.select(F.col("paperId").alias("paper_id"), "title", "record_seq")
 
@@ -178,7 +194,7 @@ def keyword_search_all(spark, folder):
 
 
 def keyword_search_page(spark, folder):
-    return search.keyword_search(records(spark, folder), "widget", 50, page=3).select(F.col("paperId").alias("paper_id"))
+    return search.keyword_search(records(spark, folder), "widget", 50, offset=100).select(F.col("paperId").alias("paper_id"))
 
 
 def search_preview(spark, folder):
@@ -227,12 +243,6 @@ def star_fallback_edges(spark, folder):
     return edges.star_fallback_edges(graph(spark, folder).vertices)
 
 
-def all_pairs_edges(spark, folder):
-    found = search.publication_search(records(spark, folder), VENUE, YEAR, 300)
-    vertices = materialize(found.select(F.col("paperId").alias("id")))
-    return edges.all_pairs_edges(vertices, pairs_per_task=2_000).select("src", "dst", "weight")
-
-
 def symmetrized_edges(spark, folder):
     return edges.symmetrize(graph(spark, folder).edges).select("src", "dst", "weight")
 
@@ -292,6 +302,65 @@ def stats(spark, folder):
     return graph_stats(graph(spark, folder))
 
 
+def line_coverage(spark, folder):
+    """Distinct pairs of an order with a work cited through its lines, and with a supplier."""
+    blocks = lines_per_block(spark.read.parquet(f"{folder}/lineitem.parquet"))
+    cited = blocks.select("o_orderkey", F.explode("cited").alias("c")).distinct().agg(F.count("*").alias("n")).scalar()
+    authors = blocks.select("o_orderkey", F.explode("suppliers").alias("s")).distinct()
+    return authors.agg(cited.alias("n_cited"), F.count("*").alias("n_authors"))
+
+
+def papers_from_json(spark, folder):
+    path = f"{checkpoint_dir(spark)}/papers-{uuid.uuid4().hex}"
+    records(spark, folder).write.json(path)
+    papers = work_files.read_papers(spark, path, "json")
+    return papers.select(F.col("paperId").alias("paper_id"), "title", "year", F.size("referenced_works").alias("n_refs"))
+
+
+def rejected_records(spark, folder):
+    """Every tenth line is cut short and every tenth has no id."""
+    rows = records(spark, folder)
+    line = F.to_json(F.struct(*[F.when(F.col("record_seq") % 10 != 1, F.col(c)).alias(c) if c == "paperId" else F.col(c) for c in rows.columns]))
+    cut = F.when(F.col("record_seq") % 10 == 0, F.substr(line, F.lit(1), F.lit(20))).otherwise(line)
+    path = f"{checkpoint_dir(spark)}/lines-{uuid.uuid4().hex}"
+    rows.select(cut.alias("value")).write.text(path)
+    return work_files.count_rejects(spark, path)
+
+
+def publication_graph_too_small(spark, folder):
+    return _edges(workflows.publication_graph(records(spark, folder), "no venue has this name", YEAR), "edge_type")
+
+
+@_once_per_session
+def weighted(spark, folder) -> CitationGraph:
+    """The graph with weights from a quarter to one."""
+    g = graph(spark, folder)
+    weight = (1 + F.substr("src", F.lit(2)).cast("bigint") % 4) * 0.25
+    return CitationGraph(g.vertices, materialize(g.edges.withColumn("weight", weight.cast("double"))), closed=True)
+
+
+def weighted_rank(spark, folder):
+    return rank.influence_rank(weighted(spark, folder)).select("id", _log("rank", "log_rank"))
+
+
+def weighted_rank_normalized(spark, folder):
+    return rank.influence_rank(weighted(spark, folder), mode="normalized").select("id", _log("rank", "log_rank"))
+
+
+def weighted_undirected(spark, folder):
+    return edges.undirected_edges(weighted(spark, folder).edges)
+
+
+def weighted_modularity(spark, folder):
+    g = weighted(spark, folder)
+    by_year = g.vertices.select("id", F.col("year").alias("community"))
+    return com.modularity(g.edges, by_year).select(F.round("q", 6).alias("q"))
+
+
+def weighted_render_edges(spark, folder):
+    return _drawn_edges(render.render_edges(weighted(spark, folder).edges))
+
+
 # ranks
 
 
@@ -364,13 +433,7 @@ def community_stats(spark, folder):
 
 
 def community_summary(spark, folder):
-    return com.community_summary(numbered(spark, folder)).select(
-        "community",
-        "size",
-        F.col("papers")[0]["id"].alias("first_id"),
-        F.element_at("papers", -1)["id"].alias("last_id"),
-        F.size("papers").alias("n_papers"),
-    )
+    return com.community_summary(numbered(spark, folder))
 
 
 # drawing tables and selection
@@ -460,6 +523,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedupe_last_wins": dedupe_last_wins,
     "dedupe_first_wins": dedupe_first_wins,
     "dedupe_lowest_hop": dedupe_lowest_hop,
+    "json_last_wins": json_last_wins,
+    "json_first_wins": json_first_wins,
     "safe_payload_names": safe_payload_names,
     "raw_archive_roundtrip": raw_archive_roundtrip,
     "keyword_search": keyword_search,
@@ -472,7 +537,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "citation_edges": citation_edges,
     "star_edges": star_edges,
     "star_fallback_edges": star_fallback_edges,
-    "all_pairs_edges": all_pairs_edges,
     "symmetrized_edges": symmetrized_edges,
     "symmetrized_edges_distinct": symmetrized_edges_distinct,
     "keyword_graph": keyword_graph,
@@ -486,6 +550,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "publication_graph": publication_graph,
     "publication_graph_fallback": publication_graph_fallback,
     "graph_stats": stats,
+    "line_coverage": line_coverage,
+    "papers_from_json": papers_from_json,
+    "rejected_records": rejected_records,
+    "publication_graph_too_small": publication_graph_too_small,
+    "weighted_rank": weighted_rank,
+    "weighted_rank_normalized": weighted_rank_normalized,
+    "weighted_undirected": weighted_undirected,
+    "weighted_modularity": weighted_modularity,
+    "weighted_render_edges": weighted_render_edges,
     "influence_rank": influence_rank,
     "influence_rank_normalized": influence_rank_normalized,
     "top_papers": top_papers,

@@ -11,9 +11,6 @@ CENTRAL_CITES = "central_cites"
 CITES_CENTRAL = "cites_central"
 FALLBACK = "fallback"
 
-#: Vertex pairs that one task of the all-pairs builder emits, about.
-PAIRS_PER_TASK = 4_000_000
-
 
 def _edge_columns(df: DataFrame, edge_type: Column | None = None) -> DataFrame:
     kind = F.col("edge_type") if edge_type is None else edge_type
@@ -79,26 +76,6 @@ def star_fallback_edges(vertices: DataFrame) -> DataFrame:
     return _edge_columns(pairs.select("e.src", "e.dst"), F.lit(FALLBACK))
 
 
-def all_pairs_edges(vertices: DataFrame, pairs_per_task: int = PAIRS_PER_TASK) -> DataFrame:
-    """One edge from the smaller to the larger id of every pair of vertices.
-
-    The result is quadratic by definition, for a search result of bounded size.
-    It is built as an equi-join of blocks: every vertex goes to one of ``b``
-    blocks and is copied to the ``b`` block pairs it takes part in, so each task
-    holds two blocks and emits a bounded share of the pairs for any input size.
-    """
-    n = vertices.count()
-    blocks = max(1, int((n * n / 2 / pairs_per_task) ** 0.5) + 1)
-    mine = F.pmod(F.xxhash64("id"), F.lit(blocks))
-    others = F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<bigint>")
-    placed = vertices.select("id", mine.alias("mine"), F.explode(others).alias("other"))
-    left = placed.select(F.col("id").alias("src"), F.col("mine").alias("l"), F.col("other").alias("r"))
-    right = placed.select(F.col("id").alias("dst"), F.col("other").alias("l"), F.col("mine").alias("r"))
-    return _edge_columns(
-        left.join(right, ["l", "r"]).filter(F.col("src") < F.col("dst")), F.lit(FALLBACK)
-    )
-
-
 def symmetrize(edges: DataFrame, dedupe: bool = False) -> DataFrame:
     """Every edge and its reverse. Mutual citations and self-citations come out
     twice, unless ``dedupe`` keeps one row per direction."""

@@ -14,7 +14,7 @@ from citegraph.plans.materialize import materialize
 
 
 def expand_references(
-    papers: DataFrame, seeds: DataFrame, max_hops: int = 1, per_hop_limit: int | None = 200
+    papers: DataFrame, seeds: DataFrame, max_hops: int = 1, per_hop_limit: int | None = None
 ) -> DataFrame:
     """``id, record_seq, hop`` of the seeds and of what they cite within
     ``max_hops`` hops; the record is the one that a lookup of the id returns.

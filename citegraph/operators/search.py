@@ -14,13 +14,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citegraph.functions.text import contains_all, strip_prefix
+from citegraph.functions.text import CATALOGUE_PREFIX, contains_all, strip_prefix
 from citegraph.operators.normalize import RECORD_ORDER, valid_id
 
-#: Page size of the catalogue and the result size from which pages are ignored.
-MAX_PAGE = 200
-CURSOR_ABOVE = 100
-
 _RESULT_ORDER = (F.desc, "cited_by_count"), (F.asc, "paperId")
 
 
@@ -43,49 +39,47 @@ def _order() -> list[Column]:
 
 
 def _first_matches(
-    papers: DataFrame, match: Column, limit: int | None, page: int = 1, use_cursor: bool | None = None
+    papers: DataFrame, match: Column, limit: int | None, offset: int = 0
 ) -> DataFrame:
+    match = match & valid_id("paperId")
     hits = (
-        papers.filter(match & valid_id("paperId"))
+        papers.filter(match)
         .groupBy("paperId")
         .agg(
             F.min(RECORD_ORDER).alias(RECORD_ORDER),
             F.min_by("cited_by_count", RECORD_ORDER).alias("_cited"),
         )
     )
-    if limit is not None:
-        cursor = limit > CURSOR_ABOVE if use_cursor is None else use_cursor
-        skipped = 0 if cursor else (page - 1) * min(limit, MAX_PAGE)
-        hits = hits.orderBy(F.desc("_cited"), F.asc("paperId")).offset(skipped).limit(limit)
-    return papers.join(hits.drop("_cited"), ["paperId", RECORD_ORDER], "left_semi").select(*papers.columns)
+    if limit is not None or offset:
+        hits = hits.orderBy(F.desc("_cited"), F.asc("paperId")).offset(offset)
+        hits = hits if limit is None else hits.limit(limit)
+    # The filter is repeated, so that it reaches the scan of the wide records too.
+    return papers.filter(match).join(hits.drop("_cited"), ["paperId", RECORD_ORDER], "left_semi").select(*papers.columns)
 
 
 def keyword_search(
     papers: DataFrame,
     keywords: str | list[str],
-    limit: int | None = 100,
+    limit: int | None = None,
     institution: str | None = None,
-    page: int = 1,
-    use_cursor: bool | None = None,
+    offset: int = 0,
 ) -> DataFrame:
     """Papers whose title holds every token, most cited first, ties by id.
 
-    ``page`` skips whole pages of ``min(limit, 200)`` results; it is ignored in
-    cursor mode, which starts above 100 results.
+    ``offset`` results are skipped, then at most ``limit`` returned.
     """
     match = contains_all(F.col("title"), parse_keywords(keywords)) & in_institution(institution)
-    return _first_matches(papers, match, limit, page, use_cursor).orderBy(*_order())
+    return _first_matches(papers, match, limit, offset).orderBy(*_order())
 
 
 def publication_search(
     papers: DataFrame,
     publication: str,
     year: int,
-    limit: int | None = 100,
+    limit: int | None = None,
     institution: str | None = None,
     match: str = "venue",
-    page: int = 1,
-    use_cursor: bool | None = None,
+    offset: int = 0,
 ) -> DataFrame:
     """Papers of a year whose venue contains the text (``match="venue"``) or whose
     title holds its tokens (``match="title"``)."""
@@ -96,30 +90,33 @@ def publication_search(
     else:
         raise ValueError(f"unknown match {match!r}")
     found = found & (F.col("year") == year) & in_institution(institution)
-    return _first_matches(papers, found, limit, page, use_cursor).orderBy(*_order())
+    return _first_matches(papers, found, limit, offset).orderBy(*_order())
+
+
+def bare_ids(ids: list[str]) -> list[str]:
+    """The given ids without prefix, in input order, repeats and empty ids left out."""
+    bare = [i.replace(CATALOGUE_PREFIX, "").strip() for i in ids]
+    return list(dict.fromkeys(i for i in bare if i))
 
 
 def seed_ids(spark: SparkSession, ids: list[str]) -> DataFrame:
     """``id, ord`` of the given ids without prefix, in input order, repeats and
     empty ids left out."""
-    bare = [i.replace("https://openalex.org/", "").strip() for i in ids]
-    unique = list(dict.fromkeys(i for i in bare if i))
-    return spark.createDataFrame([(i, n) for n, i in enumerate(unique)], "id string, ord int")
+    return spark.createDataFrame([(i, n) for n, i in enumerate(bare_ids(ids))], "id string, ord int")
 
 
 def lookup_by_ids(papers: DataFrame, ids: DataFrame) -> DataFrame:
     """Last record of every paper whose id is in ``ids`` (column ``id``, with or
-    without prefix). Unknown ids are silently absent. The records are read once;
-    those found are combined per id before their shuffle."""
+    without prefix). Unknown ids are silently absent. Which record is the last is
+    found on narrow rows, combined per id; the wide ones are only joined with that."""
     wanted = ids.select(strip_prefix(F.col("id")).alias("paperId"))
-    rest = [c for c in papers.columns if c != "paperId"]
-    return (
-        papers.join(wanted, "paperId", "left_semi")
+    last = (
+        papers.select("paperId", RECORD_ORDER)
+        .join(wanted, "paperId", "left_semi")
         .groupBy("paperId")
-        .agg(F.max_by(F.struct(*rest), RECORD_ORDER).alias("last"))
-        .select("paperId", "last.*")
-        .select(*papers.columns)
+        .agg(F.max(RECORD_ORDER).alias(RECORD_ORDER))
     )
+    return papers.join(last, ["paperId", RECORD_ORDER], "left_semi").select(*papers.columns)
 
 
 def preview(results: DataFrame, shown: int = 5) -> DataFrame:

@@ -9,6 +9,15 @@ from pyspark.sql import types as T
 from citegraph.operators.graph import CitationGraph
 
 
+def _text(value: object) -> str:
+    """A literal as the text of a property with that value."""
+    if isinstance(value, bool):
+        return str(value).lower()
+    if isinstance(value, float) and value.is_integer():
+        return str(int(value))
+    return str(value)
+
+
 def _matches(df: DataFrame, column: str, values: list) -> Column:
     """The property as text is one of ``values``; null, 0, false and '' never match."""
     kind = df.schema[column].dataType
@@ -20,10 +29,10 @@ def _matches(df: DataFrame, column: str, values: list) -> Column:
         if isinstance(kind, (T.DoubleType, T.FloatType)):
             # A whole number is written without decimals.
             text = F.when(value == F.floor(value), F.floor(value).cast("string")).otherwise(value.cast("string"))
-            return truthy & text.isin([str(v) for v in values])
+            return truthy & text.isin([_text(v) for v in values])
     else:
         truthy = value != ""
-    return truthy & value.cast("string").isin([str(v) for v in values])
+    return truthy & value.cast("string").isin([_text(v) for v in values])
 
 
 def select_nodes(graph: CitationGraph, column: str, values: list, by: str = "node") -> DataFrame:

@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from citegraph.operators.graph import CitationGraph
 from citegraph.plans.materialize import materialize
@@ -28,14 +29,32 @@ class IndexedGraph:
     edges: DataFrame
 
 
-def ordered_index(graph: CitationGraph) -> IndexedGraph:
-    """Keys in id order. Only edges whose two ends are vertices are kept."""
-    numbered = materialize(
-        graph.vertices.select("id")
-        .repartitionByRange("id")
-        .sortWithinPartitions("id")
-        .withColumn("key", F.monotonically_increasing_id())
+def numbered_rows(rows: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """``rows`` with their place in the order, from 0, whatever the partitioning.
+
+    A distributed sort: every partition of the sorted rows numbers its own and starts
+    where those before it end. Only the row counts of the partitions come together.
+    """
+    position = F.monotonically_increasing_id()
+    placed = materialize(
+        rows.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .withColumns({"_part": F.shiftright(position, 33), "_pos": position.bitwiseAND(F.lit((1 << 33) - 1))})
+    )
+    counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("rows"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("_part", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("_start"))
+    return materialize(
+        placed.join(F.broadcast(starts), "_part")
+        .withColumn(name, F.col("_start") + F.col("_pos"))
+        .drop("_part", "_pos", "_start")
     )
+
+
+def ordered_index(graph: CitationGraph) -> IndexedGraph:
+    """Keys in id order, the same for every partitioning. Only edges whose two ends are
+    vertices are kept."""
+    numbered = numbered_rows(graph.vertices.select("id"), [F.col("id").asc()], "key")
     return IndexedGraph(numbered, materialize(_join_keys(graph, numbered)))
 
 

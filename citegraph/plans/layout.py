@@ -20,7 +20,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citegraph.plans.materialize import BROADCAST_MAX_ROWS, shuffle_partitions
+from citegraph.plans.materialize import BROADCAST_MAX_ROWS, materialize, shuffle_partitions
 
 #: Sources with fewer edges than this are never split.
 MIN_HOT_EDGES = 1_000_000
@@ -28,6 +28,9 @@ MIN_HOT_EDGES = 1_000_000
 #: A small graph is placed on fewer partitions than the session has.
 MIN_EDGES_PER_PARTITION = 20_000
 
+#: A large graph is placed on more partitions than the session has.
+MAX_EDGES_PER_PARTITION = 5_000_000
+
 
 @dataclass
 class SourceLayout:
@@ -73,7 +76,7 @@ def place_by_source(
     degrees = edges.groupBy(source).agg(F.count(F.lit(1)).alias("_edges"))
     total, largest = degrees.agg(F.sum("_edges"), F.max("_edges")).first()
     total, largest = total or 0, largest or 0
-    n = shuffle_partitions(edges.sparkSession)
+    n = max(shuffle_partitions(edges.sparkSession), total // MAX_EDGES_PER_PARTITION)
     limit = max(min_hot_edges, total // n)
     if largest <= limit and total <= broadcast_max_rows:
         n = min(n, max(1, total // MIN_EDGES_PER_PARTITION))
@@ -81,8 +84,11 @@ def place_by_source(
     if largest <= limit:
         placed = edges.repartition(n, source).sortWithinPartitions(source)
         return SourceLayout(_kept(placed), source, n, None)
-    hot = degrees.filter(F.col("_edges") > limit).select(
-        source, F.ceil(F.col("_edges") / limit).cast("int").alias("_salts")
+    # Written: every round joins it, and none should count the edges again.
+    hot = materialize(
+        degrees.filter(F.col("_edges") > limit).select(
+            source, F.ceil(F.col("_edges") / limit).cast("int").alias("_salts")
+        )
     )
     spread = F.pmod(F.xxhash64(*[c for c in edges.columns if c != source]), F.coalesce("_salts", F.lit(1)))
     placed = (

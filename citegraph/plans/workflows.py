@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from citegraph.operators.dedupe import keep_last
 from citegraph.operators.edges import (
-    all_pairs_edges,
     citation_edges,
     star_edges,
     star_fallback_edges,
@@ -19,7 +18,7 @@ from citegraph.operators.edges import (
 from citegraph.operators.expand import expand_references
 from citegraph.operators.graph import CitationGraph
 from citegraph.operators.normalize import RECORD_ORDER, to_vertices
-from citegraph.operators.search import keyword_search, lookup_by_ids, publication_search, seed_ids
+from citegraph.operators.search import bare_ids, keyword_search, lookup_by_ids, publication_search, seed_ids
 from citegraph.plans.materialize import materialize
 
 
@@ -38,7 +37,7 @@ def _citations_or_star(vertices: DataFrame) -> DataFrame:
 def keyword_graph(
     records: DataFrame,
     keywords: str | list[str],
-    limit: int | None = 100,
+    limit: int | None = None,
     central: str | None = None,
     institution: str | None = None,
     keep_references: bool = True,
@@ -54,13 +53,12 @@ def keyword_graph(
     found = materialize(keyword_search(records, keywords, limit, institution))
     centre = None
     if central and not found.isEmpty():
-        wanted = seed_ids(spark, [central])
-        names = wanted.take(1)
-        centre = names[0]["id"] if names else None
-    if centre is not None:
-        missing = wanted.join(found.select(F.col("paperId").alias("id")), "id", "left_anti")
-        found = materialize(found.unionByName(lookup_by_ids(records, missing)))
-        if found.filter(F.col("paperId") == centre).isEmpty():
+        bare = bare_ids([central])
+        centre = bare[0] if bare else None
+    if centre is not None and found.filter(F.col("paperId") == centre).isEmpty():
+        looked_up = materialize(lookup_by_ids(records, seed_ids(spark, [centre])))
+        found = materialize(found.unionByName(looked_up))
+        if looked_up.isEmpty():
             centre = None
     vertices = materialize(to_vertices(found))
     edges = _citations_or_star(vertices) if centre is None else materialize(star_edges(vertices, centre))
@@ -71,7 +69,7 @@ def id_graph(
     records: DataFrame,
     seeds: list[str],
     max_hops: int = 1,
-    per_hop_limit: int | None = 200,
+    per_hop_limit: int | None = None,
     keep_references: bool = False,
 ) -> CitationGraph:
     """Graph of the seeds and of what they cite within ``max_hops`` hops; a star
@@ -87,23 +85,23 @@ def publication_graph(
     records: DataFrame,
     publication: str,
     year: int,
-    limit: int | None = 100,
+    limit: int | None = None,
     institution: str | None = None,
     match: str = "venue",
     dedupe: bool = False,
     keep_references: bool = False,
 ) -> CitationGraph:
     """Graph of a venue and year: the citations inside the set or, if there are
-    none, all pairs of its papers; then every edge is added in reverse. Fewer than
-    two papers give an empty graph."""
+    none, a star around the smallest id; then every edge is there in reverse. Fewer
+    than two papers give an empty graph."""
     found = publication_search(records, publication, year, limit, institution, match)
     vertices = materialize(to_vertices(found))
     if vertices.limit(2).count() < 2:
         vertices = vertices.filter(F.lit(False))
     edges = materialize(citation_edges(vertices))
-    if edges.isEmpty():
-        edges = all_pairs_edges(vertices)
-    return CitationGraph(_kept(vertices, keep_references), materialize(symmetrize(edges, dedupe)), closed=True)
+    # the star has both directions already
+    edges = star_fallback_edges(vertices) if edges.isEmpty() else symmetrize(edges, dedupe)
+    return CitationGraph(_kept(vertices, keep_references), materialize(edges), closed=True)
 
 
 def _kept(vertices: DataFrame, keep_references: bool) -> DataFrame:

@@ -1,13 +1,13 @@
 """Works derived from a folder of star-schema tables.
 
-Each order is a work. The line number modulo 8 gives a work up to eight
-reference slots; the smallest and the largest part key of a slot give the works
-it cites, the smallest and largest supplier key its authors. The part with the
-smallest key names the work and its venue, the nation of the customer is the
+An order is a work, or several: its lines are dealt over as many blocks as keep about
+``BLOCK_LINES`` lines each, and each block is a work. Every line counts: the part of a
+line, with its line number, gives a work that it cites, its supplier an author. The part
+with the smallest key names the work and its venue, the nation of the customer is the
 institution of all authors.
 
-Every aggregate is a fixed-width ``min``/``max``, so an order that holds a large
-share of all lines is combined before the shuffle and no group is ever collected.
+The number of blocks comes from a combined count per order, so an order that holds a large
+share of all lines becomes many works and no group of unknown size is ever collected.
 
 The ``CASE`` branches on the key do not select rows: they add the kinds of dirt
 that real records have (blank titles, padded ids, missing years, duplicates).
@@ -20,7 +20,12 @@ from pyspark.sql import functions as F
 
 from citegraph.functions.text import CATALOGUE_PREFIX
 
+#: Line numbers modulo this tell apart the works cited through one part.
 SLOTS = 8
+#: Lines of a block, on average; orders with fewer lines are one block.
+BLOCK_LINES = 8
+#: Distance of the keys of an order's blocks; block 0 has the key of the order.
+BLOCK_OFFSET = 10_000_000_000_000
 WORKS_PER_PART = 7
 OUTSIDE_OFFSET = 100_000_000_000
 SECOND_RECORD_OFFSET = 1_000_000_000_000
@@ -30,28 +35,27 @@ def _work_id(key: Column) -> Column:
     return F.concat(F.lit(CATALOGUE_PREFIX + "W"), key.cast("string"))
 
 
-def _lines_per_order(lineitem: DataFrame) -> DataFrame:
-    slot = F.col("l_linenumber") % SLOTS
-    parts_and_suppliers = []
-    for s in range(SLOTS):
-        part = F.when(slot == s, F.col("l_partkey"))
-        supplier = F.when(slot == s, F.col("l_suppkey"))
-        parts_and_suppliers += [
-            F.min(part).alias(f"part_lo_{s}"),
-            F.max(part).alias(f"part_hi_{s}"),
-            F.min(supplier).alias(f"supp_lo_{s}"),
-            F.max(supplier).alias(f"supp_hi_{s}"),
-        ]
-    return lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-        F.min("l_partkey").alias("topic_part"), *parts_and_suppliers
+def lines_per_block(lineitem: DataFrame) -> DataFrame:
+    """``o_orderkey, block, topic_part, cited, suppliers`` with sorted, distinct arrays."""
+    lines = lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+    counts = lines.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
+    large = counts.where(F.col("n") > BLOCK_LINES).select("l_orderkey", F.ceil(F.col("n") / BLOCK_LINES).alias("blocks"))
+    dealt = F.col("l_partkey") * 31 + F.col("l_suppkey") * 7 + F.col("l_linenumber")
+    block = F.when(F.col("blocks").isNull(), 0).otherwise(F.pmod(dealt, F.col("blocks")))
+    cited = F.col("l_partkey") * WORKS_PER_PART + F.col("l_linenumber") % SLOTS
+    return (
+        lines.join(large, "l_orderkey", "left")
+        .groupBy(F.col("l_orderkey").alias("o_orderkey"), block.cast("bigint").alias("block"))
+        .agg(
+            F.min("l_partkey").alias("topic_part"),
+            F.sort_array(F.collect_set(cited)).alias("cited"),
+            F.sort_array(F.collect_set("l_suppkey")).alias("suppliers"),
+        )
     )
 
 
 def _references(key: Column) -> Column:
-    cited = [
-        F.col(f"part_{end}_{s}") * WORKS_PER_PART + s for s in range(SLOTS) for end in ("lo", "hi")
-    ]
-    from_lines = F.transform(F.array_compact(F.array(*cited)), _work_id)
+    from_lines = F.transform(F.coalesce("cited", F.array().cast("array<bigint>")), _work_id)
     none = F.array().cast("array<string>")
     return F.concat(
         from_lines,
@@ -65,7 +69,6 @@ def _references(key: Column) -> Column:
 
 
 def _authorships(key: Column) -> Column:
-    suppliers = F.array(*[F.col(f"supp_{end}_{s}") for s in range(SLOTS) for end in ("lo", "hi")])
     lineage = F.array(
         F.concat(F.lit("I"), F.col("c_nationkey").cast("string")),
         F.concat(F.lit("R"), F.col("n_regionkey").cast("string")),
@@ -82,9 +85,7 @@ def _authorships(key: Column) -> Column:
             F.array(F.struct(lineage.alias("lineage"))).alias("institutions"),
         )
 
-    return F.when(
-        F.col("topic_part").isNotNull(), F.transform(F.array_compact(suppliers), authorship)
-    )
+    return F.transform("suppliers", authorship)
 
 
 def works_from_tables(spark: SparkSession, folder: str) -> DataFrame:
@@ -93,14 +94,14 @@ def works_from_tables(spark: SparkSession, folder: str) -> DataFrame:
     def table(name: str) -> DataFrame:
         return spark.read.parquet(f"{folder}/{name}.parquet")
 
-    lines = _lines_per_order(table("lineitem"))
+    lines = lines_per_block(table("lineitem"))
     customers = (
         table("customer")
         .join(table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .select("c_custkey", "c_nationkey", "n_regionkey")
     )
     parts = table("part").select("p_partkey", "p_name", "p_type", "p_brand", "p_size")
-    key = F.col("o_orderkey")
+    key = F.col("o_orderkey") + F.coalesce("block", F.lit(0)) * BLOCK_OFFSET
     topic = F.concat_ws(" ", F.col("p_name"), F.lower("p_type"))
     name = F.when(F.col("p_name").isNotNull(), topic)
     records = (

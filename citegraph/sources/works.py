@@ -2,29 +2,57 @@
 
 from __future__ import annotations
 
+import re
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from citegraph.functions.text import safe_name
-from citegraph.operators.normalize import valid_id
+from citegraph.operators.normalize import RECORD_ORDER, valid_id
 from citegraph.sources.schemas import PAPER, RAW_WORK
 
 CORRUPT = "_corrupt_record"
 
+#: Bits of a record number for the place in a file; the others are the file's rank.
+FILE_BITS = 43
+
 
 def read_works(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     """Raw works with the needed fields only. ``fmt`` is ``json`` (one record per
-    line, compressed or not) or ``parquet``; Parquet may carry ``record_seq``."""
-    if fmt == "json":
-        return spark.read.schema(RAW_WORK).json(path)
-    if fmt == "parquet":
-        stored = spark.read.parquet(path)
-        extra = ["record_seq"] if "record_seq" in stored.columns else []
-        return stored.select(*RAW_WORK.fieldNames(), *extra)
-    raise ValueError(f"unknown format {fmt!r}")
+    line, compressed or not) or ``parquet``; Parquet may carry ``record_seq``. Without
+    one, records are ordered by the path of their file and their place in it."""
+    if fmt not in ("json", "parquet"):
+        raise ValueError(f"unknown format {fmt!r}")
+    stored = spark.read.schema(RAW_WORK).json(path) if fmt == "json" else spark.read.parquet(path)
+    if RECORD_ORDER in stored.columns:
+        return stored.select(*RAW_WORK.fieldNames(), RECORD_ORDER)
+    return _in_source_order(stored, RAW_WORK.fieldNames())
+
+
+def _in_source_order(stored: DataFrame, columns: list[str]) -> DataFrame:
+    """``columns`` and ``record_seq``: files by path, then records by their place.
+
+    A number is the file's rank, then the start of the split in the file plus the
+    record's place in the task. A split has at least as many bytes as records, and one
+    that is shorter than a task's share is the last of its file, so numbers grow along a
+    file and none occurs twice, however the splits are dealt to tasks. There is room for
+    a million files of up to eight terabytes.
+    """
+    files = sorted({re.sub(r"^(\w+):/+", r"\1:/", f) for f in stored.inputFiles()})  # as in the metadata, but for slashes
+    if len(files) >= 1 << (63 - FILE_BITS):
+        raise ValueError("too many files to number their records; add record_seq")
+    ranks = stored.sparkSession.createDataFrame(list(zip(files, range(len(files)), strict=True)), "_file string, _rank bigint")
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    rows = stored.select(
+        *columns,
+        F.regexp_replace("_metadata.file_path", r"^(\w+):/+", "$1:/").alias("_file"),
+        (F.col("_metadata.file_block_start") + place).alias("_place"),
+    )
+    rank = F.coalesce("_rank", F.raise_error(F.concat(F.lit("file not listed: "), F.col("_file"))).cast("bigint"))
+    # One row per file of the listing that the driver holds anyway.
+    numbered = rows.join(F.broadcast(ranks), "_file", "left")
+    return numbered.select(*columns, (F.shiftleft(rank, FILE_BITS) + F.col("_place")).alias(RECORD_ORDER))
 
 
 def read_papers(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -58,7 +86,7 @@ def count_rejects(spark: SparkSession, path: str, schema: T.StructType = PAPER)
 def archive_path(spark: SparkSession, folder: str, query_name: str, at: datetime | None = None) -> str:
     """Folder of an archive: safe form of the query name and a UTC stamp."""
     stamp = (at or datetime.now(timezone.utc)).strftime("%Y%m%dT%H%M%SZ")
-    name = spark.range(1).select(safe_name(F.lit(query_name)).alias("n")).first()["n"]
+    name = re.sub(r"[^\w-]", "_", query_name)[:80]
     return f"{folder.rstrip('/')}/raw_json/{name}_{stamp}"
 
 

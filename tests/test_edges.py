@@ -42,16 +42,6 @@ def test_star_fallback(make):
     assert one.count() == 0 and one.columns == ["src", "dst", "weight", "edge_type"]
 
 
-def test_all_pairs_for_any_number_of_blocks(make):
-    ids = [f"p{i}" for i in range(23)]
-    v = make.vertices({i: [] for i in ids})
-    expected = sorted((a, b) for a in ids for b in ids if a < b)
-    for pairs_per_task in (4_000_000, 20, 3):
-        assert pairs(E.all_pairs_edges(v, pairs_per_task)) == expected
-    plan = E.all_pairs_edges(v, 20)._jdf.queryExecution().executedPlan().toString()
-    assert "NestedLoop" not in plan and "Cartesian" not in plan
-
-
 def test_mirror_doubles_mutual_and_self_citations(make):
     e = make.edges([("A", "B"), ("B", "A"), ("C", "C")])
     assert pairs(E.symmetrize(e)) == [("A", "B")] * 2 + [("B", "A")] * 2 + [("C", "C")] * 2

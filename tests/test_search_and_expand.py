@@ -36,10 +36,10 @@ def test_keywords(make):
 def test_pages(make):
     papers = make.records([(f"W{i:03d}", "t", [], i, 0) for i in range(30)])
     page = lambda **kw: ids(search.keyword_search(papers, "t", **kw))
-    assert page(limit=10, page=2) == [f"W{i:03d}" for i in range(10, 20)]
-    assert page(limit=10, page=2, use_cursor=True) == [f"W{i:03d}" for i in range(10)]
-    assert len(page(limit=101, page=2)) == 30  # above 100 results pages are ignored
-    assert page(limit=25, page=2) == [f"W{i:03d}" for i in range(25, 30)]
+    assert page(limit=10, offset=10) == [f"W{i:03d}" for i in range(10, 20)]
+    assert page(limit=101, offset=20) == [f"W{i:03d}" for i in range(20, 30)]
+    assert page(offset=25) == [f"W{i:03d}" for i in range(25, 30)]
+    assert len(page()) == 30
 
 
 def test_publications(make):

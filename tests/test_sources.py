@@ -68,3 +68,19 @@ def test_render_tables(spark, tmp_path):
     nodes = spark.createDataFrame([("a", 1.0)], "id string, size double")
     paths = graph_store.save_render_tables(nodes, nodes, "g", str(tmp_path))
     assert spark.read.json(paths[0]).first().id == "a"
+
+
+def test_records_of_several_files_keep_their_order(spark, tmp_path):
+    """The later file is the larger one, which is dealt to the first task."""
+    path = tmp_path / "snapshot"
+    path.mkdir()
+    line = '{"id": "https://openalex.org/W%d", "title": "%s"}\n'
+    (path / "2024-01.json").write_text(line % (1, "old") + line % (2, "first"))
+    (path / "2024-02.json").write_text("".join(line % (i, "pad" * 30) for i in range(10, 400)) + line % (1, "new") + line % (1, "newest"))
+    from citegraph.operators.dedupe import keep_first, keep_last
+    from citegraph.operators.normalize import normalize_works
+
+    records = normalize_works(works.read_works(spark, str(path)))
+    assert records.select("record_seq").distinct().count() == records.count()
+    title = lambda papers: papers.filter("paperId = 'W1'").first().title
+    assert (title(keep_first(records)), title(keep_last(records))) == ("old", "newest")
