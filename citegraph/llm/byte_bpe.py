@@ -12,8 +12,8 @@ about ten times the time per word (README has figures), so texts are encoded by
 ``encode_texts``, which folds in Arrow batches.
 
 A single space between two other characters always starts a word, so a text is split at
-single spaces first, and the ids of each such chunk are remembered, in at most
-``REMEMBERED`` entries per task; the memory starts anew when it is full. Texts in which a
+single spaces first, and the ids of each such chunk, and of each word, are remembered, in
+at most about ``REMEMBERED`` entries each; a memory starts anew when it is full. Texts in which a
 space stands beside other white space are cut by the pattern as a whole.
 
 Defined results: a null text counts as empty, an empty one has no ids; repeated rows and
@@ -36,7 +36,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 #: Words of more bytes are folded with a heap instead of a scan for each merge.
 LONG_WORD = 64
 _NONE = 1 << 30
@@ -54,6 +54,7 @@ class Encoder:
         self.ranks, self.words = ranks, regex.compile(pattern)
         self.pieces = {rank: token for token, rank in ranks.items()}
         self.by_chunk: dict[str, bytes | None] = {}
+        self.by_word: dict[str, bytes] = {}
 
     def fold(self, word: bytes) -> list[int]:
         """Ids of one word by ranked merges."""
@@ -80,7 +81,7 @@ class Encoder:
     def _fold_long(self, word: bytes) -> list[int]:
         """The same merges in the same order, each found on a heap of ranks and positions."""
         get, n = self.ranks.get, len(word)
-        end, after, before = [i + 1 for i in range(n)], [i + 1 for i in range(n)], [i - 1 for i in range(n)]
+        end, before = [i + 1 for i in range(n)], [i - 1 for i in range(n)]
         heap = [(r, i, i + 1, i + 2) for i in range(n - 1) if (r := get(word[i : i + 2])) is not None]
         heapq.heapify(heap)
         alive = [True] * n
@@ -89,7 +90,7 @@ class Encoder:
             if not alive[i] or end[i] != middle or middle >= n or end[middle] != last:
                 continue  # one of the two has been joined since
             alive[middle] = False
-            end[i], after[i] = last, after[middle]
+            end[i] = last
             if last < n:
                 before[last] = i
                 if (r := get(word[i : end[last]])) is not None:
@@ -99,7 +100,16 @@ class Encoder:
         return [self.ranks[word[i : end[i]]] for i in range(n) if alive[i]]
 
     def _words(self, text: str) -> bytes:
-        return array("I", [i for w in self.words.findall(text) for i in self.fold(w.encode())]).tobytes()
+        memory, ids = self.by_word, []
+        if len(memory) > REMEMBERED:
+            memory.clear()
+        for word in self.words.findall(text):
+            try:
+                ids.append(memory[word])
+            except KeyError:
+                memory[word] = made = array("I", self.fold(word.encode())).tobytes()
+                ids.append(made)
+        return b"".join(ids)
 
     def _chunk(self, chunk: str, first: bool) -> bytes | None:
         """Ids of a chunk between single spaces; None if white space at its edge reaches beyond it."""

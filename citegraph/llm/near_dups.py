@@ -8,12 +8,13 @@ is cut by the next depth, and so on, so depth follows how crowded a region is.
 
 Candidates are neighbours in these orders, in rounds. In each a node is held against the
 centre of its region, at every depth, and against its predecessor in the sorted order, but
-only while they are in different components, and of these only the partner with the most
-similar signature is confirmed on the full sets. Regions within one component are done.
-Once a round links nothing new, the last one is complete: all pairs across the components
-of each region of the first depth, in blocks. So a group of copies of any size takes a few
-linear rounds, no link between components is skipped for size, and only texts of different
-components that share a region are compared pair by pair.
+only while they are in different components, and of these one partner whose signature is
+similar enough is confirmed on the full sets. Regions within one component are done.
+The last round is complete: all pairs across the components of each region of the first
+depth, in blocks, but for those that cannot be linked because too many shingles of one are
+its own. So a group of copies of any size takes a few linear rounds, no link between
+components is skipped for size, and only texts of different components that share a region
+and most of their shingles with others are compared pair by pair.
 
 A pair of similarity 0.8 shares a region at the first depth with probability
 1 - (1 - 0.8 ** 4) ** 24 > 0.99999. Pairs whose signatures agree in less than ``LIKELY`` of the
@@ -42,14 +43,16 @@ from citegraph.plans.materialize import broadcast_if_small
 
 SHINGLE = 4
 HASHES, ORDERS = 96, 24
-DEPTHS = (4, 6, 8, 12)
+DEPTHS = (4, 8, 12)
 WIDE = 64
 #: Of the minima, below the similarity of a link by five standard deviations.
 LIKELY = 0.6
+#: Of the minima, above the similarity of a link by two standard deviations.
+SURE = 0.88
 #: A link: 100 * common >= PERCENT * union.
 PERCENT = 80
 #: At most so many linear rounds before the complete one.
-ROUNDS = 4
+ROUNDS = 2
 
 _SEEDS = np.random.default_rng(2024)
 _MULTIPLY = _SEEDS.integers(1, 1 << 32, HASHES, dtype=np.uint32) | np.uint32(1)
@@ -164,7 +167,7 @@ def regions(nodes: DataFrame) -> DataFrame:
 
 
 def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``node, other, alike`` (equal minima) of the pairs whose set sizes and signatures allow a link."""
+    """``node, other, alike`` (equal minima), ``crowd_other`` of the pairs whose set sizes and signatures allow a link."""
 
     @F.arrow_udf("int")
     def equal(a: pa.Array, b: pa.Array) -> pa.Array:
@@ -173,11 +176,13 @@ def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
         left, right = (np.frombuffer(b"".join(x.to_pylist()), np.uint32).reshape(-1, HASHES) for x in (a, b))
         return pa.array((left == right).sum(1), pa.int32())
 
-    of = lambda side: nodes.select(F.col("node").alias(side), F.col("n_shingles").alias(f"n_{side}"), F.col("signature").alias(f"s_{side}"))
+    taken = {"n": "n_shingles", "s": "signature", "crowd": "crowd"}
+    of = lambda side: nodes.select(F.col("node").alias(side), *(F.col(c).alias(f"{k}_{side}") for k, c in taken.items()))
     rows = pairs.join(of("node"), "node").join(of("other"), "other")
     rows = rows.where(100 * F.least("n_node", "n_other") >= PERCENT * F.greatest("n_node", "n_other"))
-    rows = rows.withColumn("alike", equal("s_node", "s_other"))
-    return rows.where(F.col("alike") >= LIKELY * HASHES).select("node", "other", "alike")
+    # else the filter would have it computed once more
+    rows = rows.withColumn("alike", equal.asNondeterministic()("s_node", "s_other"))
+    return rows.where(F.col("alike") >= LIKELY * HASHES).select("node", "other", "alike", "crowd_other")
 
 
 def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -199,18 +204,40 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """``node, component`` (smallest node reached) of every node with a link."""
+    """``node, component`` (smallest node reached) of every node with a link.
+
+    A round takes the smallest label of the neighbours and then follows labels twice, so
+    paths shrink by more than half. Labels are broadcast while they are counted to be few.
+    """
     both = materialize(links.select("a", "b").union(links.select("b", "a")).distinct())
-    labels = materialize(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("component")).withColumnRenamed("a", "node"))
+    labels = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("component"))
+    labels = materialize(labels)
     while True:
-        near = both.join(labels.select(F.col("node").alias("b"), "component"), "b").groupBy("a").agg(F.min("component").alias("near"))
-        moved = labels.join(near.withColumnRenamed("a", "node"), "node")
-        moved = moved.select("node", F.col("component").alias("old"), F.least("component", "near").alias("via"))
-        jump = labels.select(F.col("node").alias("via"), F.col("component").alias("next"))
-        new = materialize(moved.join(jump, "via").select("node", "old", F.least("via", "next").alias("component")))
-        if new.where("old <> component").isEmpty():
-            return new.select("node", "component")
+        known = broadcast_if_small(labels)
+        of = lambda key, name: known.select(F.col("node").alias(key), F.col("component").alias(name))
+        near = both.join(of("b", "near"), "b").groupBy(F.col("a").alias("node")).agg(F.min("near").alias("near"))
+        moved = near.join(of("node", "old"), "node").select("node", "old", F.least("old", "near").alias("first"))
+        moved = moved.join(of("first", "second"), "first").join(of("second", "third"), "second")
+        new = materialize(moved.select("node", "old", F.col("third").alias("component")))
         labels = new.select("node", "component")
+        if new.where("old <> component").isEmpty():
+            return labels
+
+
+def _merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """``node, component`` after further links; only components that they join are followed."""
+    if labels is None:
+        return components(links)
+    ends = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).distinct()
+    alone = ends.join(labels, "node", "left_anti").withColumn("component", F.col("node"))
+    every = materialize(labels.unionByName(alone))
+    known = broadcast_if_small(every)
+    of = lambda side: known.select(F.col("node").alias(side), F.col("component").alias(f"c_{side}"))
+    between = links.join(of("a"), "a").join(of("b"), "b").where("c_a <> c_b")
+    joined = components(materialize(between.select(F.col("c_a").alias("a"), F.col("c_b").alias("b"))))
+    joined = joined.select(F.col("node").alias("component"), F.col("component").alias("name"))
+    named = every.join(broadcast_if_small(joined), "component", "left")
+    return materialize(named.select("node", F.coalesce("name", "component").alias("component")))
 
 
 def _needed_sets(docs: DataFrame, reps: DataFrame) -> DataFrame:
@@ -230,16 +257,16 @@ def _needed_sets(docs: DataFrame, reps: DataFrame) -> DataFrame:
     return rows.mapInArrow(make, "node bigint, hashes binary").dropDuplicates(["node"])
 
 
-def _nearby(rows: DataFrame, number: int) -> DataFrame:
-    """``node, other``: partners in other components, centres of regions and predecessors in the order.
+def _turn(number: int, node: str, crowd: str) -> Column:
+    """Sorts centres: at first nodes by the crowd around them, since what many texts are copies
+    of is alike to most of them; later by a hash that changes with the round."""
+    return -F.col(crowd) if number == 0 else F.xxhash64(node, F.lit(number))
 
-    The centre is the node with the smallest hash of the round, so it changes.
-    """
-    turn = F.xxhash64("node", F.lit(number))
-    state = rows.groupBy("region").agg(
-        F.min(F.struct(turn.alias("turn"), F.col("node"), F.col("component"))).alias("centre"),
-        (F.min("component") < F.max("component")).alias("open"),
-    )
+
+def _nearby(rows: DataFrame, number: int) -> DataFrame:
+    """``node, other``: partners in other components, centres of regions and predecessors in the order."""
+    centre = F.struct(_turn(number, "node", "crowd").alias("turn"), F.col("node"), F.col("component"))
+    state = rows.groupBy("region").agg(F.min(centre).alias("centre"), (F.min("component") < F.max("component")).alias("open"))
     opened = rows.join(state.where("open").select("region", "centre"), "region")
     centres = opened.where(F.col("component") != F.col("centre.component")).select("node", F.col("centre.node").alias("other"))
     beside = Window.partitionBy("region").orderBy("label", "node")
@@ -248,28 +275,75 @@ def _nearby(rows: DataFrame, number: int) -> DataFrame:
     return centres.union(near.where(F.col("_c") != F.col("component")).select("node", "other"))
 
 
-def _across(rows: DataFrame) -> DataFrame:
-    """``node, other``: all pairs of different components in a region.
+def _partners(likely: DataFrame, number: int) -> DataFrame:
+    """``node, other``: the candidate that a node is confirmed with in this round.
+
+    Of candidates that are surely alike, the one that others choose too, so that links
+    form stars; else the most similar one.
+    """
+    sure = F.col("alike") >= SURE * HASHES
+    turn = F.when(sure, -_turn(number, "other", "crowd_other").cast("decimal(20,0)"))
+    best = F.max(F.struct(sure.alias("sure"), turn.alias("turn"), F.col("alike"), F.col("other"))).alias("best")
+    return likely.groupBy("node").agg(best).select("node", F.col("best.other").alias("other"))
+
+
+def _own_shingles(sets: DataFrame) -> DataFrame:
+    """``node, own``: how many shingles of a node no other node of ``sets`` has."""
+
+    def spread(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                found = [np.frombuffer(v.as_py(), np.int64) for v in part.column(1)]
+                node = np.repeat(part.column(0).to_numpy(), [len(f) for f in found])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found)), pa.array(node)], names=["shingle", "node"])
+
+    every = sets.select("node", "hashes").mapInArrow(spread, "shingle bigint, node bigint")
+    alone = every.groupBy("shingle").agg(F.min("node").alias("node"), F.count("*").alias("n")).where("n = 1")
+    return alone.groupBy("node").agg(F.count("*").alias("own"))
+
+
+def _across(rows: DataFrame, sets: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``node, other``: the pairs of different components in a region that may be linked.
 
     One of a pair is outside the region's largest component, so a region that is nearly one
-    component has few pairs. The members are cut into blocks of about ``WIDE``.
+    component has few pairs. What two sets share is at most what either has besides the
+    shingles that only it has; pairs that this keeps from being linked are not made. The
+    members are cut into blocks of about ``WIDE``.
     """
     counts = rows.groupBy("region", "component").agg(F.count("*").alias("n"))
     state = counts.groupBy("region").agg(F.max(F.struct("n", "component")).alias("most"), F.count("*").alias("kinds"))
     state = materialize(state.where("kinds > 1").select("region", F.col("most.component").alias("largest")))
-    opened = rows.join(state, "region")
+    opened = materialize(rows.join(state, "region"))
+    inside = materialize(opened.select("node").distinct())
+    own = _own_shingles(sets.join(inside, "node", "left_semi"))
+    known = sizes.select("node", "n_shingles").join(inside, "node", "left_semi").join(own, "node", "left")
+    known = materialize(known.select("node", "n_shingles", (F.col("n_shingles") - F.coalesce("own", F.lit(0))).alias("shared")))
+    # a set that shares too little to be linked with a set as large as what it shares
+    known = known.where(100 * F.col("shared") >= PERCENT * F.col("n_shingles"))
+    opened = opened.join(broadcast_if_small(known), "node")
     blocks = F.ceil(F.col("size") / WIDE).cast("int")
-    left = opened.where(F.col("component") != F.col("largest"))
-    left = left.select("region", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), "node", F.col("component").alias("_c"))
+    left = opened.where(F.col("component") != F.col("largest")).select(
+        "region",
+        F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"),
+        "node",
+        F.col("component").alias("_c"),
+        F.col("n_shingles").alias("_n"),
+        F.col("shared").alias("_s"),
+    )
     right = opened.select(
         "region",
         F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"),
         F.col("node").alias("other"),
         "component",
+        "n_shingles",
+        "shared",
         (F.col("component") == F.col("largest")).alias("in_largest"),
     )
-    pairs = left.join(right, ["region", "block"])
-    return pairs.where((F.col("_c") != F.col("component")) & (F.col("in_largest") | (F.col("node") < F.col("other")))).select("node", "other")
+    most = F.least("_s", "shared")
+    possible = 100 * most >= PERCENT * (F.col("_n") + F.col("n_shingles") - most)
+    apart = (F.col("_c") != F.col("component")) & (F.col("in_largest") | (F.col("node") < F.col("other")))
+    return left.join(right, ["region", "block"]).where(apart & possible).select("node", "other")
 
 
 def _named(documents: DataFrame, nodes: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -297,31 +371,32 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     # the written number of a node stays the same however often it is read
     nodes = materialize(classes.withColumn("node", F.monotonically_increasing_id()))
-    member = materialize(regions(nodes))
-    inside = materialize(member.select("node").distinct())
-    reps = materialize(nodes.join(inside, "node").select("node", "doc_id", "digest", "n_shingles", "signature"))
+    member = regions(nodes)
+    # how many nodes share a node's regions, counted once for each
+    crowds = materialize(member.where(F.col("depth") == DEPTHS[0]).groupBy("node").agg(F.sum("size").alias("crowd")))
+    crowds = broadcast_if_small(crowds)
+    member = materialize(member.join(crowds, "node"))
+    reps = materialize(nodes.join(crowds, "node").select("node", "doc_id", "digest", "n_shingles", "signature", "crowd"))
     sets = materialize(_needed_sets(docs, reps))
 
-    links = labels = None
+    labels = None
     tested = reps.limit(0).select(F.col("node").alias("a"), F.col("node").alias("b"))
     number, whole = 0, False
     while True:
         rows = member.withColumn("component", F.col("node"))
         if labels is not None:
             rows = member.join(broadcast_if_small(labels), "node", "left").withColumn("component", F.coalesce("component", "node"))
-        pairs = _across(rows.where(F.col("depth") == DEPTHS[0])) if whole else _nearby(rows, number)
+        pairs = _across(rows.where(F.col("depth") == DEPTHS[0]), sets, reps) if whole else _nearby(rows, number)
         pairs = pairs.distinct().withColumns({"a": F.least("node", "other"), "b": F.greatest("node", "other")})
         likely = _likely(pairs.join(tested, ["a", "b"], "left_anti").select("node", "other"), reps)
         if not whole:
-            best = F.max(F.struct("alike", "other")).alias("best")
-            likely = likely.groupBy("node").agg(best).select("node", F.col("best.other").alias("other"))
+            likely = _partners(likely, number)
         pairs = likely.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
         held = materialize(_linked(pairs, sets))
         new = held.where("link").select("a", "b")
         found = not new.isEmpty()
         if found:
-            links = new if links is None else materialize(links.union(new))
-            labels = components(links)
+            labels = _merged(labels, new)
         if whole:
             return _named(documents, nodes, labels)
         tested = materialize(tested.union(held.select("a", "b")))
