@@ -23,4 +23,66 @@ SELECT conv_id,
 FROM escaped GROUP BY conv_id
 """
 
-ORACLE = {"op10_chat_formatting": _CHAT}
+# Each rule's conditions for a bad and a good vote.
+_RULES = (
+    ("n_words < 50", "n_words >= 100"),
+    ("word_chars > 15 * n_words OR word_chars < 2 * n_words", "word_chars BETWEEN 3 * n_words AND 10 * n_words"),
+    ("10 * n_symbols > n_words", "50 * n_symbols <= n_words"),
+    ("10 * n_repeat_words > 3 * n_words", "10 * n_repeat_words <= n_words"),
+    ("n_lines > 1 AND 10 * n_dup_lines > 3 * n_lines", "n_lines > 1 AND 10 * n_dup_lines <= n_lines"),
+    ("10 * n_capitals > 3 * n_words", "10 * n_capitals <= n_words"),
+    ("10 * n_marks > n_words", "50 * n_marks <= n_words"),
+    ("20 * n_bars > n_words", "n_bars = 0"),
+    ("10 * (n_symbols + n_marks) > word_chars", "50 * (n_symbols + n_marks) <= word_chars"),
+    ("10 * n_distinct < 3 * n_words", "2 * n_distinct >= n_words"),
+)
+_ROUNDS = 12
+
+_STATISTICS = r"""
+docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+parts AS MATERIALIZED (SELECT r, doc_id, t, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM docs),
+windows AS (SELECT r, i, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c FROM
+    (SELECT r, w, unnest(generate_series(1, len(w) - 2)) AS i FROM parts WHERE len(w) > 2)),
+repeated AS (SELECT r, i FROM windows JOIN (SELECT r, a, b, c FROM windows GROUP BY ALL HAVING count(*) > 1) USING (r, a, b, c)),
+covered AS (SELECT r, count(DISTINCT i + k) AS n FROM repeated, (VALUES (0), (1), (2)) AS o(k) GROUP BY r),
+stats AS MATERIALIZED (SELECT r, doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(lines) AS n_lines,
+    len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words,
+    len(list_filter(w, lambda x: x = upper(x) AND x <> lower(x))) AS n_capitals,
+    length(regexp_replace(t, '[^!?]', '', 'g')) AS n_marks, length(regexp_replace(t, '[^|]', '', 'g')) AS n_bars,
+    len(list_distinct(w)) AS n_distinct
+  FROM parts LEFT JOIN covered USING (r))"""
+
+
+def _quality() -> str:
+    """Votes, then the rounds of expectation-maximisation over the vote patterns, one after the other."""
+    n = len(_RULES)
+    names = ", ".join(f"v{i}" for i in range(n))
+    cast = ", ".join(f"CASE WHEN {bad} THEN 0 WHEN {good} THEN 1 ELSE -1 END AS v{i}" for i, (bad, good) in enumerate(_RULES))
+    steps = [
+        _STATISTICS.strip(),
+        f"voted AS MATERIALIZED (SELECT *, {cast} FROM stats)",
+        f"patterns AS MATERIALIZED (SELECT {names}, count(*)::DOUBLE AS n FROM voted GROUP BY ALL)",
+        f"p0 AS (SELECT *, CASE WHEN {' OR '.join(f'v{i} = 0' for i in range(n))} THEN 0.1::DOUBLE ELSE 0.9 END AS p FROM patterns)",
+    ]
+    for k in range(1, _ROUNDS + 1):
+        sums = ["sum(n * p) AS g", "sum(n * (1 - p)) AS b"]
+        for i in range(n):
+            for v in (0, 1):
+                sums += [f"coalesce(sum(n * {x}) FILTER (v{i} = {v}), 0) AS {c}{i}_{v}" for c, x in (("g", "p"), ("b", "(1 - p)"))]
+        steps.append(f"s{k} AS MATERIALIZED (SELECT {', '.join(sums)} FROM p{k - 1})")
+        odds = ["ln((g + 1) / (b + 1))"]
+        for i in range(n):
+            rate = lambda c, v, i=i: f"(({c}{i}_{v} + 1) / ({c}{i}_0 + {c}{i}_1 + 2))"
+            odds.append(f"CASE v{i} WHEN 0 THEN ln({rate('g', 0)} / {rate('b', 0)}) WHEN 1 THEN ln({rate('g', 1)} / {rate('b', 1)}) ELSE 0 END")
+        steps.append(f"p{k} AS MATERIALIZED (SELECT patterns.*, 1 / (1 + exp(-({' + '.join(odds)}))) AS p FROM patterns, s{k})")
+    return "WITH " + ",\n".join(steps) + f"""
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+  n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words,
+  n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND p >= 0.5 AS kept
+FROM voted JOIN p{_ROUNDS} USING ({names})"""
+
+
+ORACLE = {"op8_quality_rules": _quality(), "op10_chat_formatting": _CHAT}
