@@ -41,7 +41,7 @@ def differences(df: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> tupl
     names, expected = _rows([d[0] for d in result.description], result.fetchall())
     if columns != names:
         return len(got), f"columns {columns} and {names}"
-    kinds = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
+    kinds = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
     for name, kind in df.dtypes:
         if kinds.get(kind) != types[name]:
             return len(got), f"type of {name}: {kind} and {types[name]}"
