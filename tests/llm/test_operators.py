@@ -17,7 +17,7 @@ def kinds(text):
 def test_weak_parts_need_their_complement():
     opaque = "Zk3fQ9xTb7LmW2pR8vYc"
     assert kinds(f"see {opaque} there") == []
-    assert kinds(f"user: bob then {opaque}") == [("ident", "user: bob"), ("opaque", opaque)]
+    assert kinds(f"user: bob then {opaque}") == [("ident", "bob"), ("opaque", opaque)]
     assert kinds(f"user: bob\n\n{opaque}") == []
     assert kinds(f"user: bob {'word ' * 80}{opaque}") == []
     assert kinds("user: bob") == [] and kinds("https://db.example.com/x") == []
@@ -181,4 +181,4 @@ def test_toxic_words_raise_scores(spark):
     docs = spark.createDataFrame(rows, "row bigint, text string, toxic int")
     asked = spark.createDataFrame([(1, "such a rotten scoundrel"), (2, "a warm and quiet day"), (3, None)], "doc_id bigint, text string")
     score = {r.doc_id: r.score for r in toxicity.toxicity_scores(asked, docs).collect()}
-    assert score[1] > 0.7 > 0.3 > score[2] and 0 <= score[3] <= 1
+    assert score[1] > 0.7 > 0.5 > score[2] and 0 <= score[3] <= 1
