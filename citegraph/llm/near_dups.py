@@ -12,9 +12,10 @@ only while they are in different components, and of these one partner whose sign
 similar enough is confirmed on the full sets. Regions within one component are done.
 The last round is complete: all pairs across the components of each region of the first
 depth, in blocks, but for those that cannot be linked because too many shingles of one are
-its own. So a group of copies of any size takes a few linear rounds, no link between
-components is skipped for size, and only texts of different components that share a region
-and most of their shingles with others are compared pair by pair.
+rare, and all pairs that share a rare one. So a group of copies of any size takes a few
+linear rounds, no link between components is skipped for size, and only texts of different
+components that share a region and most of their shingles with many others are compared
+pair by pair.
 
 A pair of similarity 0.8 shares a region at the first depth with probability
 1 - (1 - 0.8 ** 4) ** 24 > 0.99999. Pairs whose signatures agree in less than ``LIKELY`` of the
@@ -287,8 +288,8 @@ def _partners(likely: DataFrame, number: int) -> DataFrame:
     return likely.groupBy("node").agg(best).select("node", F.col("best.other").alias("other"))
 
 
-def _own_shingles(sets: DataFrame) -> DataFrame:
-    """``node, own``: how many shingles of a node no other node of ``sets`` has."""
+def _rare_shingles(sets: DataFrame) -> DataFrame:
+    """``shingle, node, holders`` of the shingles that at most ``WIDE`` nodes of ``sets`` have."""
 
     def spread(batches):
         for batch in batches:
@@ -299,51 +300,68 @@ def _own_shingles(sets: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found)), pa.array(node)], names=["shingle", "node"])
 
     every = sets.select("node", "hashes").mapInArrow(spread, "shingle bigint, node bigint")
-    alone = every.groupBy("shingle").agg(F.min("node").alias("node"), F.count("*").alias("n")).where("n = 1")
-    return alone.groupBy("node").agg(F.count("*").alias("own"))
+    held = every.groupBy("shingle").agg(F.count("*").alias("holders")).where(F.col("holders") <= WIDE)
+    return materialize(every.join(held, "shingle"))
 
 
 def _across(rows: DataFrame, sets: DataFrame, sizes: DataFrame) -> DataFrame:
     """``node, other``: the pairs of different components in a region that may be linked.
 
-    One of a pair is outside the region's largest component, so a region that is nearly one
-    component has few pairs. What two sets share is at most what either has besides the
-    shingles that only it has; pairs that this keeps from being linked are not made. The
-    members are cut into blocks of about ``WIDE``.
+    Two nodes have a rare shingle in common, one that few nodes of open regions have, or none.
+    Pairs of the first kind come from the nodes of each rare shingle. What a pair of the
+    second kind shares is at most what either has besides its rare shingles; pairs which that
+    keeps from being linked are not made. One of a pair is outside its region's largest
+    component, so a region that is nearly one component has few pairs. The members are cut
+    into blocks of about ``WIDE``.
     """
     counts = rows.groupBy("region", "component").agg(F.count("*").alias("n"))
     state = counts.groupBy("region").agg(F.max(F.struct("n", "component")).alias("most"), F.count("*").alias("kinds"))
     state = materialize(state.where("kinds > 1").select("region", F.col("most.component").alias("largest")))
     opened = materialize(rows.join(state, "region"))
-    inside = materialize(opened.select("node").distinct())
-    own = _own_shingles(sets.join(inside, "node", "left_semi"))
-    known = sizes.select("node", "n_shingles").join(inside, "node", "left_semi").join(own, "node", "left")
-    known = materialize(known.select("node", "n_shingles", (F.col("n_shingles") - F.coalesce("own", F.lit(0))).alias("shared")))
+    inside = materialize(opened.select("node", "component").distinct())
+    rare = _rare_shingles(sets.join(inside, "node", "left_semi"))
+    per_node = rare.groupBy("node").agg(F.count_if(F.col("holders") == 1).alias("own"), F.count("*").alias("rare"))
+    known = sizes.select("node", "n_shingles").join(inside, "node").join(per_node, "node", "left")
+    known = known.select(
+        "node",
+        "component",
+        F.col("n_shingles").alias("n"),
+        (F.col("n_shingles") - F.coalesce("own", F.lit(0))).alias("shared"),
+        (F.col("n_shingles") - F.coalesce("rare", F.lit(0))).alias("common"),
+    )
     # a set that shares too little to be linked with a set as large as what it shares
-    known = known.where(100 * F.col("shared") >= PERCENT * F.col("n_shingles"))
-    opened = opened.join(broadcast_if_small(known), "node")
+    known = materialize(known.where(100 * F.col("shared") >= PERCENT * F.col("n")))
+
+    def possible(left: str, right: str) -> Column:
+        most = F.least(left, right)
+        return 100 * most >= PERCENT * (F.col("n") + F.col("_n") - most)
+
+    mine = broadcast_if_small(known)
+    holders = rare.where("holders > 1").select("shingle", "node").join(mine.select("node", "component", "n", "shared"), "node")
+    others = holders.select(
+        "shingle", F.col("node").alias("other"), F.col("component").alias("_c"), F.col("n").alias("_n"), F.col("shared").alias("_s")
+    )
+    apart = (F.col("component") != F.col("_c")) & (F.col("node") < F.col("other"))
+    by_shingle = holders.join(others, "shingle").where(apart & possible("shared", "_s")).select("node", "other")
+
+    large = known.where(100 * F.col("common") >= PERCENT * F.col("n")).select("node", "n", "common")
+    members = opened.join(broadcast_if_small(materialize(large)), "node")
     blocks = F.ceil(F.col("size") / WIDE).cast("int")
-    left = opened.where(F.col("component") != F.col("largest")).select(
-        "region",
-        F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"),
-        "node",
-        F.col("component").alias("_c"),
-        F.col("n_shingles").alias("_n"),
-        F.col("shared").alias("_s"),
+    outside = members.where(F.col("component") != F.col("largest")).select(
+        "region", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), "node", "component", "n", "common"
     )
-    right = opened.select(
+    everyone = members.select(
         "region",
         F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"),
         F.col("node").alias("other"),
-        "component",
-        "n_shingles",
-        "shared",
+        F.col("component").alias("_c"),
+        F.col("n").alias("_n"),
+        F.col("common").alias("_s"),
         (F.col("component") == F.col("largest")).alias("in_largest"),
     )
-    most = F.least("_s", "shared")
-    possible = 100 * most >= PERCENT * (F.col("_n") + F.col("n_shingles") - most)
-    apart = (F.col("_c") != F.col("component")) & (F.col("in_largest") | (F.col("node") < F.col("other")))
-    return left.join(right, ["region", "block"]).where(apart & possible).select("node", "other")
+    apart = (F.col("component") != F.col("_c")) & (F.col("in_largest") | (F.col("node") < F.col("other")))
+    by_region = outside.join(everyone, ["region", "block"]).where(apart & possible("common", "_s")).select("node", "other")
+    return by_shingle.union(by_region)
 
 
 def _named(documents: DataFrame, nodes: DataFrame, labels: DataFrame | None) -> DataFrame:
