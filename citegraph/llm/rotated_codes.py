@@ -5,15 +5,16 @@ random rotation and only the signs are kept, packed, with two correction scalars
 residual's length, and its inner product with its own code). Centres are fitted on a
 bounded sample of about ``SAMPLE`` vectors; every vector is indexed.
 
-Search: a query goes to its nearest cells. There its inner product with every residual is
+Search: every query meets the codes of every cell. Its inner product with every residual is
 estimated from the packed bits and the scalars, with an error bound. Vectors whose lower
 bound of the distance exceeds the k-th smallest upper bound are set aside, the others are
-reranked with exact distances in double precision.
+reranked with exact distances in double precision. Nothing but these bounds leaves a vector
+out.
 
 Of equal vectors only the k + 1 with the smallest ids can be among k neighbours of
-anything, so the others are not indexed, and equal queries are searched once. A cell is
-cut into blocks of about ``BLOCK`` vectors and its queries into blocks of about
-``QUERIES``, so no task grows with a cell, however crowded.
+anything, so the others are not indexed, and equal queries are searched once. Cells are
+gathered or cut into blocks of about ``BLOCK`` vectors and queries are dealt over parts of
+about ``QUERIES``, so no task grows with a cell, however crowded, or with the queries.
 
 Defined results: vectors that are null, zero or hold null or non-finite components take
 no part, neither do those whose size is not the most frequent one (ties: the smaller);
@@ -36,11 +37,11 @@ from pyspark.sql.window import Window
 from citegraph.llm.common import materialize
 
 SAMPLE = 20_000
-BLOCK, QUERIES = 16_384, 1024
+BLOCK, QUERIES = 16_384, 16_384
+#: Queries whose bounds are in memory at a time.
+SLICE = 64
 #: Vectors per cell aimed at, and the largest number of cells.
 CELL, MAX_CELLS = 800, 4096
-#: Share of the cells that a query visits, and the smallest number of them.
-PROBED, MIN_PROBED = 0.25, 8
 #: Half-width of the bounds in standard deviations of the estimate.
 SIGMAS = 3.0
 K_MEANS_ROUNDS = 8
@@ -107,16 +108,43 @@ def bounds(codes, length, own, queries: np.ndarray, centre: np.ndarray, turn: np
     return base - scale * np.minimum(estimate + width, 1), base - scale * np.maximum(estimate - width, -1)
 
 
-def nearest(ids, x, codes, length, own, queries, centre, turn, k: int):
-    """Per query the positions and exact distances of its k nearest, by distance, then id."""
-    low, high = bounds(codes, length, own, queries, centre, turn)
-    for i, q in enumerate(queries):
-        limit = np.partition(high[i], k - 1)[k - 1] if len(ids) > k else math.inf
-        at = np.flatnonzero(low[i] <= limit)
-        gap = x[at] - q
-        exact = np.sqrt((gap * gap).sum(1))
-        best = np.lexsort((ids[at], exact))[:k]
-        yield at[best], exact[best]
+def blocks_of(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """Per cell its first block and the number of blocks it is dealt over, and the number of all blocks.
+
+    Small cells share a block, large ones have several of their own.
+    """
+    first, dealt = np.zeros(len(counts), np.int64), np.ones(len(counts), np.int64)
+    block, held = 0, 0
+    for cell, n in enumerate(counts.tolist()):
+        if held and held + n > BLOCK:
+            block, held = block + 1, 0
+        first[cell] = block
+        if n > BLOCK:
+            dealt[cell] = math.ceil(n / BLOCK)
+            block += int(dealt[cell])
+        else:
+            held += n
+    return first, dealt, block + (held > 0)
+
+
+def nearest(ids, x, cell, codes, length, own, queries, centres, turn, k: int):
+    """Per query the positions and exact distances of its k nearest, by distance, then id.
+
+    The vectors are in the order of ``cell``.
+    """
+    found, starts = np.unique(cell, return_index=True)
+    ends = [*starts[1:], len(ids)]
+    for start in range(0, len(queries), SLICE):
+        some = queries[start : start + SLICE]
+        parts = [bounds(codes[a:b], length[a:b], own[a:b], some, centres[c], turn) for c, a, b in zip(found, starts, ends, strict=True)]
+        low, high = (np.concatenate(p, axis=1) for p in zip(*parts, strict=True))
+        for i, q in enumerate(some):
+            limit = np.partition(high[i], k - 1)[k - 1] if len(ids) > k else math.inf
+            at = np.flatnonzero(low[i] <= limit)
+            gap = x[at] - q
+            exact = np.sqrt((gap * gap).sum(1))
+            best = np.lexsort((ids[at], exact))[:k]
+            yield at[best], exact[best]
 
 
 def neighbours(vectors: DataFrame, is_query, k: int = 10, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
@@ -138,7 +166,6 @@ def neighbours(vectors: DataFrame, is_query, k: int = 10, vec_id: str = "vec_id"
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     cells = max(1, min(MAX_CELLS, len(sample) // 4, n // CELL))
     centres, turn = k_means(sample, cells), rotation(sample.shape[1])
-    probed = min(cells, max(MIN_PROBED, math.ceil(PROBED * cells)))
     shared = spark.sparkContext.broadcast((centres, turn))
 
     def indexed(batches):
@@ -152,46 +179,38 @@ def neighbours(vectors: DataFrame, is_query, k: int = 10, vec_id: str = "vec_id"
             columns = [*batch.columns, pa.array(cell, pa.int32()), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(length), pa.array(own)]
             yield pa.RecordBatch.from_arrays(columns, names=["vec_id", "v", "cell", "code", "length", "own"])
 
-    def routed(batches):
-        centres = shared.value[0]
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            near = np.argpartition(squared(matrix(batch.column("v")), centres), probed - 1, axis=1)[:, :probed]
-            at = pa.array(np.repeat(np.arange(batch.num_rows), probed))
-            columns = [batch.column("asked").take(at), batch.column("v").take(at), pa.array(near.ravel(), pa.int32())]
-            yield pa.RecordBatch.from_arrays(columns, names=["asked", "v", "cell"])
-
     kind = dict(rows.dtypes)["v"]
     coded = index.select("vec_id", "v").mapInArrow(indexed, f"vec_id bigint, v {kind}, cell int, code binary, length double, own double")
     coded = materialize(coded)
+    # at most ``MAX_CELLS`` rows
+    counts = np.zeros(cells, np.int64)
+    for row in coded.groupBy("cell").count().collect():
+        counts[row["cell"]] = row["count"]
+    first, dealt, blocks = blocks_of(counts)
     once = asked.where("query_id = asked").select("asked", "v")
-    sent = materialize(once.mapInArrow(routed, f"asked bigint, v {kind}, cell int"))
-    # at most ``MAX_CELLS`` rows each
-    held = coded.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    wanted = sent.groupBy("cell").agg(F.ceil(F.count("*") / QUERIES).alias("parts"))
-    split = F.broadcast(held.join(wanted, "cell"))
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n).cast("int") - 1))
-    left = coded.join(split, "cell").withColumn("block", F.pmod(F.xxhash64("vec_id", "v"), "blocks").cast("int"))
-    left = left.withColumn("part", every("parts")).drop("blocks", "parts")
-    right = sent.join(split, "cell").withColumn("part", F.pmod(F.xxhash64("asked"), "parts").cast("int"))
-    right = right.withColumn("block", every("blocks")).drop("blocks", "parts")
+    parts = max(1, math.ceil(once.count() / QUERIES))
+    of_cell = lambda numbers: F.element_at(F.lit(numbers.tolist()), F.col("cell") + 1)
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
+    left = coded.withColumn("block", of_cell(first) + F.pmod(F.xxhash64("vec_id", "v"), of_cell(dealt)))
+    left = left.withColumn("part", every(parts))
+    right = once.withColumn("part", F.pmod(F.xxhash64("asked"), F.lit(parts)).cast("bigint")).withColumn("block", every(blocks))
 
     def searched(key, own: pa.Table, queries: pa.Table) -> pa.Table:
         centres, turn = shared.value
         out_query, out_id, out_score = [], [], []
         if own.num_rows and queries.num_rows:
-            centre = centres[key[0].as_py()]
+            own = own.sort_by("cell")
             ids, x = own.column("vec_id").to_numpy(), matrix(own.column("v"))
             codes = np.frombuffer(b"".join(own.column("code").to_pylist()), np.uint8).reshape(len(ids), -1)
-            found = nearest(ids, x, codes, own.column("length").to_numpy(), own.column("own").to_numpy(), matrix(queries.column("v")), centre, turn, k + 1)
+            cell, length, inner = (own.column(c).to_numpy() for c in ("cell", "length", "own"))
+            found = nearest(ids, x, cell, codes, length, inner, matrix(queries.column("v")), centres, turn, k + 1)
             for q, (at, exact) in zip(queries.column("asked").to_pylist(), found, strict=True):
                 out_query += [q] * len(at)
                 out_id += ids[at].tolist()
                 out_score += exact.tolist()
         return pa.table({"asked": pa.array(out_query, pa.int64()), "vec_id": pa.array(out_id, pa.int64()), "score": pa.array(out_score, pa.float64())})
 
-    keys = ("cell", "block", "part")
+    keys = ("block", "part")
     found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(searched, "asked bigint, vec_id bigint, score double")
     closest = Window.partitionBy("asked").orderBy("score", "vec_id")
     found = found.withColumn("_n", F.row_number().over(closest)).where(F.col("_n") <= k + 1).drop("_n")

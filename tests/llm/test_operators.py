@@ -2,6 +2,7 @@
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -120,6 +121,24 @@ def test_neighbours_among_equal_vectors(spark):
     assert [r.vec_id for r in sorted(found, key=lambda r: r.rank) if r.query_id == 1100] == list(range(10))
 
 
+def test_neighbours_among_many_cells(spark):
+    """Vectors without clusters in 50 cells: the neighbours of a query lie in most of them."""
+    x = np.random.default_rng(17).standard_normal((40_000, 32)).astype(np.float32)
+    table = pa.table({"vec_id": pa.array(range(len(x))), "embedding": pa.array(list(x), pa.list_(pa.float32()))})
+    found = rotated_codes.neighbours(spark.createDataFrame(table), F.col("vec_id") % 400 == 0).collect()
+    near = {}
+    for r in found:
+        near.setdefault(r.query_id, set()).add(r.vec_id)
+    gaps = rotated_codes.squared(x[::400].astype(float), x.astype(float))
+    true = {400 * i: set(np.argsort(g)[:11].tolist()) - {400 * i} for i, g in enumerate(gaps)}
+    assert sum(len(near[i] & true[i]) for i in true) >= 0.99 * 10 * len(true)
+
+
+def test_blocks_hold_small_cells_and_parts_of_large_ones():
+    first, dealt, blocks = rotated_codes.blocks_of(np.array([10_000, 5000, 2000, 40_000, 0, 7]))
+    assert (first.tolist(), dealt.tolist(), blocks) == ([0, 0, 1, 2, 5, 5], [1, 1, 1, 3, 1, 1], 6)
+
+
 def test_bounds_hold():
     own = np.random.default_rng(3)
     x, q = own.standard_normal((500, 64)), own.standard_normal((20, 64))
