@@ -10,9 +10,10 @@ training rows that the counts leave out, turns them into a score.
 
 Counts cover every labelled training row. They are combined per batch, then summed by a
 shuffle on the letter sequence, and smoothed by joins and sums on sequences and contexts.
-The model that scoring broadcasts has fixed capacity: ``SLOTS`` sequences and ``SLOTS``
-contexts, of those that meet in a slot the most frequent one; a sequence without a slot
-backs off.
+The model is kept whole. While it is counted to have at most ``BROADCAST_KEYS`` keys, scoring
+broadcasts it, sorted; a larger one stays a table: texts are dealt into blocks of
+``BLOCK`` rows, the distinct sequences of a block are joined with the model and the gains
+come back to their block.
 
 Letters are lower-cased and kept as ten bits of their code point; all else separates
 words.
@@ -31,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from citegraph.llm.common import materialize
 
@@ -38,8 +40,8 @@ ORDER, BITS = 5, 10
 DISCOUNT = 0.75
 #: Share of the lowest order spread evenly over the letters of an alphabet of about this size.
 ALPHABET = 64
-#: A prime far from powers of two, as keys are packed in bits; the capacity of each of the two tables that scoring broadcasts.
-SLOTS = 4_000_037
+#: Most sequences and contexts, counted together, that scoring broadcasts (16 bytes each), and rows of a block otherwise.
+BROADCAST_KEYS, BLOCK = 4_000_000, 2048
 #: One of this many training rows fits the logistic function and is not counted.
 HELD_FOR_FIT = 5
 FIT_ROUNDS, RIDGE = 12, 1e-2
@@ -92,7 +94,7 @@ def count_sequences(rows: DataFrame, text: str = "text", toxic: str = "toxic") -
 
 
 def smooth(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Per sequence and per context: ``key``, ``gain`` (log of the ratio of both models) and ``n``.
+    """Per sequence and per context: ``key`` and ``gain`` (log of the ratio of both models).
 
     The gain of a context is that of any letter never seen after it.
     """
@@ -115,32 +117,27 @@ def smooth(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     whole = counts.join(contexts, "context").join(shared, "shorter")
     by_sequence = whole.select(
-        F.col("sequence").alias("key"), F.log(chance("toxic") / chance("ordinary")).alias("gain"), F.expr("n_toxic + n_ordinary").alias("n")
+        F.col("sequence").alias("key"), F.log(chance("toxic") / chance("ordinary")).alias("gain")
     )
     by_context = contexts.select(
-        F.col("context").alias("key"), F.log(F.col("back_toxic") / F.col("back_ordinary")).alias("gain"), F.expr("all_toxic + all_ordinary").alias("n")
+        F.col("context").alias("key"), F.log(F.col("back_toxic") / F.col("back_ordinary")).alias("gain")
     )
     return by_sequence, by_context
 
 
-def slots(gains: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Fixed arrays of the rest of a key by ``SLOTS`` and of its gain, at the slot that is the remainder.
-
-    At most ``SLOTS`` rows reach the driver, whatever the number of keys.
-    """
-    best = F.max(F.struct("n", F.col("key"), F.col("gain"))).alias("best")
-    rows = gains.groupBy((F.col("key") % SLOTS).alias("slot")).agg(best)
-    found = rows.select("slot", F.expr(f"best.key div {SLOTS}").alias("rest"), F.col("best.gain").cast("float").alias("gain")).toArrow()
-    rest, gain = np.full(SLOTS, -1, np.int32), np.zeros(SLOTS, np.float32)
-    at = found.column("slot").to_numpy()
-    rest[at], gain[at] = found.column("rest").to_numpy(), found.column("gain").to_numpy()
-    return rest, gain
+def sorted_gains(gains: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """All keys in order and their gains, of a table that is counted to be small."""
+    found = gains.toArrow()
+    keys, gain = found.column("key").to_numpy(), found.column("gain").to_numpy()
+    order = np.argsort(keys)
+    return keys[order], gain[order]
 
 
 def _look_up(keys: np.ndarray, table: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    rest = keys // SLOTS
-    at = keys - rest * SLOTS
-    return table[0][at] == rest, table[1][at]
+    if not len(table[0]):
+        return np.zeros(len(keys), np.bool_), np.zeros(len(keys))
+    at = np.minimum(np.searchsorted(table[0], keys), len(table[0]) - 1)
+    return table[0][at] == keys, table[1][at]
 
 
 def gains_of(text: str, by_sequence: tuple, by_context: tuple) -> tuple[float, float, float]:
@@ -149,7 +146,7 @@ def gains_of(text: str, by_sequence: tuple, by_context: tuple) -> tuple[float, f
     if not len(keys):
         return 0.0, 0.0, 0.0
     seen, gain = _look_up(keys, by_sequence)
-    gain = gain.astype(np.float64)
+    gain = np.where(seen, gain, 0.0)
     if not seen.all():
         known, back = _look_up(keys[~seen] >> BITS, by_context)
         gain[~seen] = np.where(known, back, 0.0)
@@ -174,6 +171,41 @@ def text_gains(text: Column, by_sequence, by_context) -> Column:
     return gains(text)
 
 
+def joined_gains(docs: DataFrame, text: str, by_sequence: DataFrame, by_context: DataFrame) -> DataFrame:
+    """``docs`` with ``GAINS``, by joins with a model of any size.
+
+    A sequence occurs once in a block, so the most frequent one has as many rows as there are blocks.
+    """
+    place = F.monotonically_increasing_id()
+    docs = materialize(docs.withColumn("_block", F.shiftright(place, BLOCK.bit_length() - 1)))
+    schema = pa.schema([("_block", pa.int64()), ("key", pa.int64())])
+
+    def distinct(batches):
+        for batch in batches:
+            blocks = batch.column(0).to_numpy()
+            for block in np.unique(blocks):
+                made = [sequences(t.as_py() or "") for t in batch.column(1).filter(pa.array(blocks == block))]
+                found = np.unique(np.concatenate(made))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), block)), pa.array(found, pa.int64())], schema=schema)
+
+    wanted = docs.select("_block", text).mapInArrow(distinct, "_block bigint, key bigint").distinct()
+    known = wanted.join(by_sequence, "key", "left").withColumn("context", F.shiftright("key", BITS))
+    back = by_context.select(F.col("key").alias("context"), F.col("gain").alias("back"))
+    known = known.join(back, "context", "left").select("_block", "key", F.coalesce("gain", "back", F.lit(0.0)).alias("gain"))
+    kept = [c for c in docs.columns if c not in ("_block", *GAINS)]
+
+    def score(key, own: pa.Table, model: pa.Table) -> pa.Table:
+        keys, gain = model.column("key").to_numpy(), model.column("gain").to_numpy()
+        order = np.argsort(keys)
+        table, none = (keys[order], gain[order]), (np.empty(0, np.int64), np.empty(0))
+        rows = [gains_of(t.as_py() or "", table, none) for t in own.column(text)]
+        columns = np.array(rows, np.float64).reshape(len(rows), len(GAINS)).T
+        return pa.table([own.column(c) for c in kept] + [pa.array(c) for c in columns], names=[*kept, *GAINS])
+
+    kind = StructType([docs.schema[c] for c in kept] + [StructField(g, DoubleType()) for g in GAINS])
+    return docs.groupBy("_block").cogroup(known.groupBy("_block")).applyInArrow(score, kind)
+
+
 def logit(weights: np.ndarray) -> Column:
     out = F.lit(float(weights[-1]))
     for g, w in zip(GAINS, weights, strict=False):
@@ -209,10 +241,13 @@ def toxicity_scores(docs: DataFrame, training: DataFrame, text: str = "text", to
     if (classes.least, classes.most) != (0, 1):
         return docs.withColumn("score", F.lit(0.0))
     counts = materialize(count_sequences(training.where(~fitted), text, toxic))
-    share = docs.sparkSession.sparkContext.broadcast
-    tables = [share(slots(g)) for g in smooth(counts)]
-    gained = lambda df: df.withColumn("_gains", text_gains(F.col(text), *tables)).select(
-        *(df[c] for c in df.columns if c not in GAINS), "_gains.*"
-    )
+    model = [materialize(g) for g in smooth(counts)]
+    if sum(g.count() for g in model) <= BROADCAST_KEYS:
+        tables = [docs.sparkSession.sparkContext.broadcast(sorted_gains(g)) for g in model]
+        gained = lambda df: df.withColumn("_gains", text_gains(F.col(text), *tables)).select(
+            *(df[c] for c in df.columns if c not in GAINS), "_gains.*"
+        )
+    else:
+        gained = lambda df: joined_gains(df, text, *model)
     weights = fit_logistic(materialize(gained(training.where(fitted)).select(toxic, *GAINS)), toxic)
     return gained(docs).withColumn("score", 1 / (1 + F.exp(-logit(weights)))).drop(*GAINS)

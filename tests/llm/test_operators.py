@@ -201,3 +201,24 @@ def test_toxic_words_raise_scores(spark):
     asked = spark.createDataFrame([(1, "such a rotten scoundrel"), (2, "a warm and quiet day"), (3, None)], "doc_id bigint, text string")
     score = {r.doc_id: r.score for r in toxicity.toxicity_scores(asked, docs).collect()}
     assert score[1] > 0.7 > 0.5 > score[2] and 0 <= score[3] <= 1
+
+
+def test_every_sequence_keeps_its_gain(spark):
+    """Keys that agree modulo 4,000,037, which once were the slots of the model."""
+    keys = [7 + 4_000_037 * i for i in range(5)]
+    table = toxicity.sorted_gains(spark.createDataFrame([(k, float(i)) for i, k in enumerate(keys)], "key bigint, gain double"))
+    seen, gain = toxicity._look_up(np.array([*keys, 8]), table)
+    assert seen.tolist() == [True] * 5 + [False] and gain[:5].tolist() == [0.0, 1.0, 2.0, 3.0, 4.0]
+
+
+def test_joined_model_scores_like_the_broadcast_one(spark, monkeypatch):
+    rows = [(i, f"the day {i} was warm and quiet", 0) for i in range(300)] + [(1000 + i, f"you rotten scoundrel day {i}", 1) for i in range(100)]
+    training = spark.createDataFrame(rows, "row bigint, text string, toxic int")
+    texts = ["such a rotten scoundrel", "a warm and quiet day", None, "", "zzz qqq", "such a rotten scoundrel"]
+    asked = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id bigint, text string, extra string")
+    scores = []
+    for most in (toxicity.BROADCAST_KEYS, 0):
+        monkeypatch.setattr(toxicity, "BROADCAST_KEYS", most)
+        scores.append([(r.doc_id, r.text, r.extra, pytest.approx(r.score)) for r in toxicity.toxicity_scores(asked, training).orderBy("doc_id").collect()])
+    assert [r[:3] for r in scores[0]] == [r[:3] for r in scores[1]] == [(i, t, "x") for i, t in enumerate(texts)]
+    assert all(a[3].expected == b[3] for a, b in zip(*scores, strict=True))
