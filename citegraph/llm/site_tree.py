@@ -9,7 +9,10 @@ pages is unimportant. Branches of low importance are removed from each page.
 
 Some branches say by their element, role or class that they are not main text
 (navigation, advert, form, comments ...). Their importance is fixed at 0, since their
-contents may well differ on every page, which entropy alone takes for main text.
+contents may well differ on every page, which entropy alone takes for main text. A class
+or id counts as a whole, not by a word in it. Class and form alone do not mark a branch
+that holds the only articles of a page, and words of ordinary use do not mark a branch
+inside an article; there entropy decides.
 
 Pages are read once into blocks, which are written; the tree is then two combined
 aggregations over narrow rows, by host and node, and a join of pages with the nodes of
@@ -57,6 +60,8 @@ NOISE_WORDS = frozenset(
     "subscribe subscription paywall comment comments disqus reply replies social share sharing related recommended "
     "recommendations widget login signin signup search pagination pager toolbar copyright legal skip".split()
 )
+#: Noise outside of articles only.
+PLAIN_WORDS = frozenset("legal notice notices reply replies search share sharing skip social related recommended recommendations subscription".split())
 #: Noise unless they head an article.
 HEADING_TAG, HEADING_WORDS = "header", frozenset("header masthead banner".split())
 MAIN_TAGS = frozenset(("article", "main"))
@@ -75,31 +80,46 @@ TOKEN = re.compile(
 )
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 WORDS = re.compile(r"[a-z]+")
+NUMBER = re.compile(r"[-_]?[0-9]+$")
 
 BLOCKS = "array<struct<path:string,text:string>>"
 _KIND = pa.list_(pa.struct([("path", pa.string()), ("text", pa.string())]))
 
 
-def _signature(tag: str, attributes: str, in_main: bool) -> tuple[str, bool]:
-    """Element with its classes, and whether it marks a branch that is not main text."""
-    noise = tag in NOISE_TAGS or (tag == HEADING_TAG and not in_main)
+def _signature(tag: str, attributes: str, in_main: bool) -> tuple[str, bool, bool]:
+    """Element with its classes, whether it marks a branch that is not main text, and whether class or form alone do."""
+    noise, weak = tag in NOISE_TAGS and tag != "form" or (tag == HEADING_TAG and not in_main), tag == "form"
     if not attributes.strip(" /"):
-        return tag, noise
+        return tag, noise, weak
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attributes)}
-    classes = sorted(set(WORDS.findall(f"{found.get('class', '')} {found.get('id', '')}".lower())))
-    if tag not in ("html", "body", *MAIN_TAGS):
-        noise |= any(w in NOISE_WORDS for w in classes) or (not in_main and any(w in HEADING_WORDS for w in classes))
+    named = f"{found.get('class', '')} {found.get('id', '')}".lower()
+    classes = sorted(set(WORDS.findall(named)))
+    if classes and tag not in ("html", "body", *MAIN_TAGS):
+        words = {NUMBER.sub("", w) for w in named.split()}
+        weak |= bool(words & (NOISE_WORDS - PLAIN_WORDS if in_main else NOISE_WORDS | HEADING_WORDS))
     noise |= found.get("role", "").lower() in NOISE_ROLES or "hidden" in found or found.get("aria-hidden") == "true"
     noise |= "display:none" in found.get("style", "").replace(" ", "").lower()
-    return ".".join([tag, *classes]), noise
+    return ".".join([tag, *classes]), noise, weak
 
 
 def read_blocks(page: str | None) -> list[tuple[str, str]]:
     """Path and text of every block of a page outside the branches marked as noise, in page order."""
-    blocks: list[tuple[str, str]] = []
     if not page:
-        return blocks
-    stack: list[tuple[str, str, bool]] = []  # tag, signature of a block element or "", noise here
+        return []
+    blocks, spared = _read(page, frozenset())
+    return _read(page, spared)[0] if spared else blocks
+
+
+def _read(page: str, spared: frozenset[int]) -> tuple[list[tuple[str, str]], frozenset[int]]:
+    """Blocks of a page, and where the branches start that hold its only articles and are marked by class or form alone.
+
+    The branches that start at ``spared`` are not marked by class or form.
+    """
+    blocks: list[tuple[str, str]] = []
+    holding: set[int] = set()
+    free = False  # an article stands outside of marked branches
+    # tag, signature of a block element or "", noise here, own mark: None, -1, or where it starts if by class or form alone
+    stack: list[tuple[str, str, bool, int | None]] = []
     pending: list[str] = []
     at = 0
 
@@ -107,7 +127,7 @@ def read_blocks(page: str | None) -> list[tuple[str, str]]:
         if pending:
             text = " ".join("".join(pending).split())
             if text:
-                blocks.append(("/".join(s for _, s, _ in stack if s), text))
+                blocks.append(("/".join(s for _, s, *_ in stack if s), text))
             pending.clear()
 
     def close(tags: set[str], scopes: frozenset) -> None:
@@ -132,7 +152,7 @@ def read_blocks(page: str | None) -> list[tuple[str, str]]:
         elif m["end"]:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == tag:
-                    if any(t in BLOCK_TAGS for t, _, _ in stack[i:]):
+                    if any(t in BLOCK_TAGS for t, *_ in stack[i:]):
                         flush()
                     del stack[i:]
                     break
@@ -145,15 +165,21 @@ def read_blocks(page: str | None) -> list[tuple[str, str]]:
                 if tag in CLOSES:
                     close(CLOSES[tag], SCOPES - CLOSES[tag])
             if tag not in VOID_TAGS and not m["attributes"].endswith("/"):
-                in_main = any(t in MAIN_TAGS for t, _, _ in stack)
-                signature, noise = _signature(tag, m["attributes"], in_main)
+                in_main = any(t in MAIN_TAGS for t, *_ in stack)
+                signature, noise, weak = _signature(tag, m["attributes"], in_main)
+                if tag in MAIN_TAGS:
+                    marks = [x for *_, x in stack if x is not None]
+                    free |= not marks
+                    holding.update(marks if -1 not in marks else ())
+                mark = -1 if noise else m.start() if weak else None
+                noise |= weak and m.start() not in spared
                 if noise and tag not in BLOCK_TAGS:
                     flush()
-                stack.append((tag, signature if tag in BLOCK_TAGS else "", noise or bool(stack and stack[-1][2])))
+                stack.append((tag, signature if tag in BLOCK_TAGS else "", noise or bool(stack and stack[-1][2]), mark))
     if at < len(page) and not (stack and stack[-1][2]):
         pending.append(html.unescape(page[at:]))
     flush()
-    return blocks
+    return blocks, frozenset(() if free else holding)
 
 
 def parse_pages(pages: DataFrame) -> DataFrame:

@@ -167,6 +167,17 @@ def test_blocks_of_a_page():
     assert read("1 < 2 <em>and</em> 3 > 2") == ["1 < 2 and 3 > 2"]
 
 
+def test_one_word_of_a_class_does_not_drop_an_article():
+    read = lambda page: [t for _, t in site_tree.read_blocks(page)]
+    article = "<p>lead</p><article><p>text</p></article>"
+    for start, end in (("<div class='layout has-sidebar'>", "</div>"), ("<div class='no-sidebar'>", "</div>"), ("<div id='search-results'>", "</div>"), ("<div class='sidebar'>", "</div>"), ("<form action='/x'>", "</form>")):
+        assert read(start + article + "<nav>menu</nav>" + end) == ["lead", "text"], start
+    inside = "<article><div class='social-science'>a</div><p class='legal'>b</p><p class='share-enabled'>c</p><div class='ad'>d</div></article>"
+    assert read(inside) == ["a", "b", "c"]
+    assert read("<article>x</article><div class='related'><article>y</article></div><form>z</form><p class='ad-2'>v") == ["x"]
+    assert read("<nav><article>x</article></nav><div class='legal'>y</div>z") == ["z"]
+
+
 def test_shards_pack_whole():
     own = np.random.default_rng(5)
     tails = [own.integers(0, 500, n).astype(np.uint32) for n in own.integers(1, 1024, 300)]
