@@ -85,4 +85,32 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 FROM voted JOIN p{_ROUNDS} USING ({names})"""
 
 
-ORACLE = {"op8_quality_rules": _quality(), "op10_chat_formatting": _CHAT}
+# Every kept term of a language against every group of it, absent or not, in whole numbers.
+_DIVERGENCE = r"""
+WITH docs AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+said AS MATERIALIZED (SELECT r, lang, source, unnest(terms) AS term FROM docs),
+kept AS MATERIALIZED (SELECT lang, term, count(*)::HUGEINT AS n FROM said GROUP BY ALL HAVING count(DISTINCT r) >= 3),
+langs AS (SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS total FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+counts AS MATERIALIZED (SELECT lang, source, term, count(*)::HUGEINT AS n FROM said SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+totals AS (SELECT lang, source, sum(n)::HUGEINT AS total FROM counts GROUP BY ALL),
+shares AS MATERIALIZED (SELECT lang, source, term, coalesce(c.n, 0) AS n, k.n AS n_lang, l.v, l.total AS total_lang,
+    1 + (1000000000 * (coalesce(c.n, 0) + 1)) // (coalesce(t.total, 0) + l.v) AS p
+  FROM groups JOIN kept k USING (lang) JOIN langs l USING (lang)
+    LEFT JOIN counts c USING (lang, source, term) LEFT JOIN totals t USING (lang, source)),
+pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(s.value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (SELECT x.lang, x.source, y.source AS item, sum(((x.p - y.p) * (x.p - y.p)) // y.p) AS value
+      FROM shares x JOIN shares y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL) s
+    ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+owned AS (SELECT lang, source, term AS item, p, 1 + (1000000000 * (n_lang + 1)) // (total_lang + v) AS q FROM shares WHERE n > 0),
+found AS (SELECT lang, source, 'pair' AS part, item, value FROM pairs
+  UNION ALL SELECT lang, source, 'term', item, ((p - q) * (p - q)) // q FROM owned WHERE p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+
+ORACLE = {"op12_divergence_audit": _DIVERGENCE, "op8_quality_rules": _quality(), "op10_chat_formatting": _CHAT}

@@ -6,12 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citegraph.llm import byte_bpe, chat, lang_id, near_dups, packing, quality, rotated_codes, secrets, site_tree, toxicity
+from citegraph.llm import byte_bpe, chat, divergence, lang_id, near_dups, packing, quality, rotated_codes, secrets, site_tree, token_counts, toxicity
 from citegraph.llm.common import crc_bucket, materialize, prefixed, table
 from citegraph.plans.materialize import broadcast_if_small
 
 
-RANKS, VOCABULARY = "byte_bpe_50k.tiktoken", "byte_bpe_50k.json"
+RANKS, VOCABULARY, WORD_PIECES = "byte_bpe_50k.tiktoken", "byte_bpe_50k.json", "word_bpe_49k.json"
+#: A text of more tokens is over the limit.
+MAX_TOKENS = 2048
 
 
 def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,10 +81,21 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversation_digests(chat.format_conversations(turns))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = prefixed(table(spark, sf_dir, "documents"), "doc_id", "text")
+    counted = token_counts.token_counts(docs, public_tokenizers.path(WORD_PIECES))
+    return counted.withColumn("over_limit", F.col("n_tokens") > MAX_TOKENS)
+
+
+def op12_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence_audit(prefixed(table(spark, sf_dir, "documents"), "text", "lang", "source"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_secret_scans, op2_near_duplicates, op3_byte_bpe, op4_toxicity, op5_nearest_neighbours,
         op6_html_extraction, op7_packing, op8_quality_rules, op9_language_id, op10_chat_formatting,
+        op11_token_counts, op12_divergence_audit,
     )
 }
