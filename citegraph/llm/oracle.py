@@ -113,4 +113,54 @@ SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank F
 """
 
 
-ORACLE = {"op12_divergence_audit": _DIVERGENCE, "op8_quality_rules": _quality(), "op10_chat_formatting": _CHAT}
+# The checksum bit by bit, costs to go from the last row back, then the least path row by row.
+_REPAIR = r"""
+WITH RECURSIVE keyed AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+faulty AS (SELECT *, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+      flatten(list_transform(string_split(k, ''), lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+      lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END)) % 20 AS f FROM keyed),
+damaged AS (SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role,
+    CASE f WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN f = 3 THEN [0, 1] ELSE [0] END) AS copy FROM faulty WHERE f <> 0),
+placed AS (SELECT *, dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS c,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i, left(role, 1) AS ini,
+    regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*\z', 1) AS last FROM damaged),
+rows AS MATERIALIZED (SELECT *, coalesce(lag(ini) OVER w || ini NOT IN ('su', 'ua', 'au'), false) AS illegal,
+    CASE WHEN last = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 THEN 'duplicate'
+      WHEN last NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM placed WINDOW w AS (PARTITION BY c ORDER BY i)),
+coded AS MATERIALIZED (SELECT *, CASE WHEN fault IN ('blank', 'duplicate') THEN 1000000000 WHEN fault = 'truncated' THEN 1 ELSE 0 END AS stay FROM rows),
+lengths AS (SELECT c, max(i) AS n FROM rows GROUP BY c),
+togo AS (SELECT c, n + 1 AS i, [0, 4, 2, 0]::BIGINT[] AS v FROM lengths
+  UNION ALL SELECT c, i, [least(b0, 2 + least(b2, 2 + b3)), least(b1, 2 + least(b2, 2 + b3)), least(b2, 2 + b3), least(b3, 2 + b2)]
+  FROM (SELECT r.c, r.i,
+      least(3 + v[1], 2 + stay + v[3], CASE ini WHEN 'u' THEN stay + v[3] WHEN 's' THEN stay + v[2] ELSE 1000000000 END) AS b0,
+      least(3 + v[2], 2 + stay + v[3], CASE ini WHEN 'u' THEN stay + v[3] ELSE 1000000000 END) AS b1,
+      least(3 + v[3], 2 + stay + v[4], CASE ini WHEN 'a' THEN stay + v[4] ELSE 1000000000 END) AS b2,
+      least(3 + v[4], 2 + stay + v[3], CASE ini WHEN 'u' THEN stay + v[3] ELSE 1000000000 END) AS b3
+    FROM togo g JOIN coded r ON r.c = g.c AND r.i = g.i - 1)),
+costs AS MATERIALIZED (SELECT * FROM togo),
+walk AS (SELECT c, 1::BIGINT AS i, 1 AS s, '' AS audit, []::VARCHAR[] AS lines FROM lengths
+  UNION ALL SELECT c, CASE letter WHEN 'I' THEN i ELSE i + 1 END, CASE letter WHEN 'D' THEN s WHEN 'K' THEN kept ELSE led END, audit || letter,
+    CASE letter WHEN 'D' THEN lines WHEN 'K' THEN list_append(lines, role || ':' || text)
+      ELSE list_append(lines, CASE led WHEN 3 THEN 'user' ELSE 'assistant' END || ':' || CASE letter WHEN 'R' THEN text ELSE '' END) END
+  FROM (SELECT *, CASE WHEN role IS NOT NULL AND v[s] = 3 + nv[s] THEN 'D' WHEN v[s] = 2 + v[led] THEN 'I'
+      WHEN kept > 0 AND v[s] = stay + nv[kept] THEN 'K' ELSE 'R' END AS letter
+    FROM (SELECT w.*, g.v, h.v AS nv, r.role, r.text, r.stay, CASE w.s WHEN 3 THEN 4 ELSE 3 END AS led,
+        CASE WHEN w.s = 1 AND ini = 's' THEN 2 WHEN w.s = 3 AND ini = 'a' THEN 4 WHEN w.s <> 3 AND ini = 'u' THEN 3 ELSE 0 END AS kept
+      FROM walk w JOIN costs g ON g.c = w.c AND g.i = w.i LEFT JOIN costs h ON h.c = w.c AND h.i = w.i + 1
+        LEFT JOIN coded r ON r.c = w.c AND r.i = w.i
+      WHERE r.c IS NOT NULL OR g.v[w.s] > 0))),
+ended AS (SELECT w.* FROM walk w JOIN lengths l ON w.c = l.c AND w.i = l.n + 1 AND w.s IN (1, 4)),
+counted AS (SELECT conv_id, c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+    count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (illegal) AS illegal
+  FROM rows GROUP BY conv_id, c)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+  coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(g.v[1], 0)::BIGINT AS cost,
+  coalesce(audit, '') AS audit, sha256(coalesce(array_to_string(lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counted k ON o.conv_id IS NOT DISTINCT FROM k.conv_id
+  LEFT JOIN ended e ON e.c = k.c LEFT JOIN costs g ON g.c = k.c AND g.i = 1
+"""
+
+
+ORACLE = {"op13_conversation_repair": _REPAIR, "op12_divergence_audit": _DIVERGENCE, "op8_quality_rules": _quality(), "op10_chat_formatting": _CHAT}

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citegraph.llm import byte_bpe, chat, divergence, lang_id, near_dups, packing, quality, rotated_codes, secrets, site_tree, token_counts, toxicity
+from citegraph.llm import byte_bpe, chat, divergence, lang_id, near_dups, packing, quality, repair, rotated_codes, secrets, site_tree, token_counts, toxicity
 from citegraph.llm.common import crc_bucket, materialize, prefixed, table
 from citegraph.plans.materialize import broadcast_if_small
 
@@ -91,11 +91,23 @@ def op12_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.divergence_audit(prefixed(table(spark, sf_dir, "documents"), "text", "lang", "source"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefixed(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
+    rows = repair.damaged(turns)
+    found = repair.conversation_reports(repair.repaired_parts(rows)).withColumnRenamed("conv_id", "c")
+    missing = rows.groupBy(F.col("conv_id").alias("k")).agg(repair.gaps().alias("gaps"))
+    ids = turns.select("conv_id").distinct()
+    both = ids.join(missing, F.col("conv_id").eqNullSafe(F.col("k")), "left").join(found, F.col("conv_id").eqNullSafe(F.col("c")), "left")
+    both = both.fillna(0, ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"])
+    audit, digest = F.coalesce("audit", F.lit("")), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256))
+    return both.select("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", audit.alias("audit"), digest.alias("repaired_sha256"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_secret_scans, op2_near_duplicates, op3_byte_bpe, op4_toxicity, op5_nearest_neighbours,
         op6_html_extraction, op7_packing, op8_quality_rules, op9_language_id, op10_chat_formatting,
-        op11_token_counts, op12_divergence_audit,
+        op11_token_counts, op12_divergence_audit, op13_conversation_repair,
     )
 }

@@ -63,7 +63,7 @@ def empty(spark, tmp_path_factory, odd):
 def test_odd_tables(spark, odd, name):
     found = QUERIES[name](spark, odd).collect()
     assert len(found) == {
-        "op5_nearest_neighbours": 7, "op6_html_extraction": 6, "op10_chat_formatting": 5,
+        "op5_nearest_neighbours": 7, "op6_html_extraction": 6, "op10_chat_formatting": 5, "op12_divergence_audit": len(found), "op13_conversation_repair": 4,
     }.get(name, len(found) if name.startswith("op7") else len(DOCUMENTS))
 
 
