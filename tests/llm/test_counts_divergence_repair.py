@@ -74,14 +74,16 @@ def _divergences(rows, top):
     return found
 
 
-@pytest.mark.parametrize("shard_terms", [20, 10**6])
-def test_divergence_is_exact(spark, shard_terms):
+@pytest.mark.parametrize("entries, rows_at_once", [(20, 1), (10**6, 10**5)])
+def test_divergence_is_exact(spark, monkeypatch, entries, rows_at_once):
+    for name, value in (("BLOCK_ENTRIES", entries), ("CHUNK_ROWS", rows_at_once), ("CHUNK_PAIRS", rows_at_once)):
+        monkeypatch.setattr(divergence, name, value)
     draw = random.Random(8)
     words = ["Éa", "b", "ab", "中文", "zZ", "q", "ß", "İ"] + [f"w{chr(97 + i)}" for i in range(20)]
     rows = [(" ".join(draw.choices(words, k=draw.randint(0, 30))), draw.choice(["en", "de", None]), draw.choice(["s1", "s2", "s3", None])) for _ in range(120)]
     rows += [("rare words", "xx", "alone"), (None, "xx", "silent"), ("", None, "silent"), ("b b b b", "en", "short"), ("1 2 3", "en", "numbers")]
     docs = spark.createDataFrame(rows, "text string, lang string, source string").withColumn("terms", F.lit(1))
-    got = {tuple(r) for r in divergence.divergence_audit(docs.repartition(3), top_terms=5, shard_terms=shard_terms).collect()}
+    got = {tuple(r) for r in divergence.divergence_audit(docs.repartition(3), top_terms=5).collect()}
     assert got == _divergences(rows, 5)
 
 
