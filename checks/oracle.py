@@ -271,9 +271,50 @@ def _publication_graph(match: str, limit: int) -> str:
     )
 
 
+def _venue_pairs() -> str:
+    """Papers of a venue without citations as ``v``, and all their pairs as ``e``."""
+    match = f"{_venue(FALLBACK_VENUE)} AND {_at(FALLBACK_INSTITUTION)}"
+    return f"""{RECORDS},
+{_search(match, 100)},
+v AS MATERIALIZED (SELECT * RENAME (paper_id AS id) FROM hits),
+e AS MATERIALIZED (SELECT a.id AS src, b.id AS dst, 1.0::DOUBLE AS weight, 'fallback' AS edge_type FROM v a JOIN v b ON a.id <> b.id)"""
+
+
+_SHARED_PAIRS = """pairs AS MATERIALIZED (SELECT a.id AS src, b.id AS dst, 0.5::DOUBLE AS weight, 'fallback' AS edge_type
+  FROM v a JOIN v b ON a.venue IS NOT DISTINCT FROM b.venue AND a.year = b.year AND a.id <> b.id)"""
+_SHARED_VENUES = f"""{GRAPH.replace('e AS MATERIALIZED', 'cites AS MATERIALIZED')},
+{_SHARED_PAIRS},
+e AS MATERIALIZED (SELECT * FROM cites UNION ALL SELECT * FROM pairs)"""
+_ONLY_VENUES = f"""{GRAPH.replace('e AS MATERIALIZED', 'cites AS MATERIALIZED')},
+{_SHARED_PAIRS},
+e AS MATERIALIZED (SELECT * FROM pairs)"""
+_STATS = "SELECT (SELECT count(*) FROM v) AS n_vertices, (SELECT count(*) FROM e) AS n_edges"
+_LOG_RANK = "SELECT id, round(log10(rank), 6) AS log_rank FROM ranks"
+
 _WEIGHTED = GRAPH.replace("SELECT src, dst, 1.0::DOUBLE AS weight", "SELECT src, dst, 0.25::DOUBLE * (1 + CAST(substr(src, 2) AS BIGINT) % 4) AS weight")
 
 ORACLE: dict[str, str] = {
+    "venue_pairs": _sql(_venue_pairs(), _EDGE + "e"),
+    "venue_pairs_stats": _sql(_venue_pairs(), _STATS),
+    "venue_pairs_rank": _sql(f"{_venue_pairs()},\n{_ranks('raw')}", _LOG_RANK),
+    "venue_pairs_labels": _sql(f"{_venue_pairs()},\n{_labels()}", "SELECT id, label AS community FROM l5"),
+    "clique_stats": _sql(_SHARED_VENUES, _STATS),
+    "clique_degrees": _sql(
+        _ONLY_VENUES,
+        "SELECT v.id, count(src) AS degree, coalesce(sum(weight), 0)::DOUBLE AS weight FROM v LEFT JOIN e ON src = v.id GROUP BY v.id",
+    ),
+    "clique_rank": _sql(f"{_SHARED_VENUES},\n{_ranks('raw')}", _LOG_RANK),
+    "clique_rank_normalized": _sql(f"{_SHARED_VENUES},\n{_ranks('normalized')}", _LOG_RANK),
+    "clique_modularity": _sql(f"{_SHARED_VENUES},\n{_modularity('SELECT id, year AS c FROM v')}", "SELECT q FROM q"),
+    "clique_labels": _sql(f"{_ONLY_VENUES},\n{_labels()}", "SELECT id, label AS community FROM l5"),
+    "keyword_search_cursor": _sql(
+        f"{RECORDS},\n{_search(_WIDGET, None)}",
+        """SELECT paper_id, CAST((row_number() OVER (ORDER BY cited_by_count DESC, paper_id) - 1) // (count(*) OVER () // 4 + 1) AS INTEGER) AS page
+  FROM hits""",
+    ),
+    "missing_authors": _sql(
+        f"{GRAPH},\n{_ranks('raw')},\n{_AUTHORS}", "SELECT true AS has_authors, count(*) AS n_authors FROM scores UNION ALL SELECT false, 0"
+    ),
     "line_coverage": """SELECT count(DISTINCT (l_orderkey, l_partkey * 7 + l_linenumber % 8)) AS n_cited,
   count(DISTINCT (l_orderkey, l_suppkey)) AS n_authors FROM lineitem""",
     "papers_from_json": _sql(RECORDS, "SELECT paper_id, title, year, CAST(len(refs) AS INTEGER) AS n_refs FROM p"),

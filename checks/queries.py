@@ -6,6 +6,7 @@ names that the SQL in ``checks.oracle`` uses.
 
 from __future__ import annotations
 
+import functools
 import uuid
 from collections.abc import Callable
 from functools import wraps
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from citegraph.functions.text import safe_name
 from citegraph.operators import communities as com
-from citegraph.operators import dedupe, edges, expand, rank, render, search, selection
+from citegraph.operators import cliques, dedupe, edges, expand, rank, render, search, selection
 from citegraph.operators.graph import CitationGraph, graph_stats
 from citegraph.operators.louvain import louvain, louvain_one_sweep
 from citegraph.operators.normalize import normalize_works
@@ -293,11 +294,92 @@ def publication_graph(spark, folder):
 def publication_graph_fallback(spark, folder):
     return _edges(
         workflows.publication_graph(
-            records(spark, folder), FALLBACK_VENUE, YEAR, 100, institution=FALLBACK_INSTITUTION
+            records(spark, folder), FALLBACK_VENUE, YEAR, 100, institution=FALLBACK_INSTITUTION, fallback="star"
         )
     )
 
 
+# all pairs, as members of cliques: one venue without citations, and the papers of every venue and year
+
+
+@_once_per_session
+def uncited_venue(spark, folder) -> CitationGraph:
+    return workflows.publication_graph(records(spark, folder), FALLBACK_VENUE, YEAR, 100, institution=FALLBACK_INSTITUTION)
+
+
+@_once_per_session
+def shared_venues(spark, folder) -> CitationGraph:
+    """Papers linked with all others of their venue and year, next to the citations."""
+    g = graph(spark, folder)
+    return CitationGraph(g.vertices, g.edges, closed=True, cliques=materialize(cliques.cliques_by(g.vertices, "venue", "year", weight=0.5)))
+
+
+def venue_pairs(spark, folder):
+    g = uncited_venue(spark, folder)
+    return _edges(CitationGraph(g.vertices, cliques.edges_among(g.cliques, g.vertices)), "edge_type")
+
+
+def venue_pairs_stats(spark, folder):
+    return graph_stats(uncited_venue(spark, folder))
+
+
+def venue_pairs_rank(spark, folder):
+    return rank.influence_rank(uncited_venue(spark, folder)).select("id", _log("rank", "log_rank"))
+
+
+def venue_pairs_labels(spark, folder):
+    return com.label_propagation(uncited_venue(spark, folder)).select("id", "community")
+
+
+def clique_stats(spark, folder):
+    return graph_stats(shared_venues(spark, folder))
+
+
+def clique_degrees(spark, folder):
+    return cliques.clique_degrees(shared_venues(spark, folder).cliques)
+
+
+def clique_rank(spark, folder):
+    return rank.influence_rank(shared_venues(spark, folder)).select("id", _log("rank", "log_rank"))
+
+
+def clique_rank_normalized(spark, folder):
+    return rank.influence_rank(shared_venues(spark, folder), mode="normalized").select("id", _log("rank", "log_rank"))
+
+
+def clique_modularity(spark, folder):
+    g = shared_venues(spark, folder)
+    by_year = g.vertices.select("id", F.col("year").alias("community"))
+    return com.modularity(g.edges, by_year, g.cliques).select(F.round("q", 6).alias("q"))
+
+
+def clique_labels(spark, folder):
+    g = shared_venues(spark, folder)
+    alone = CitationGraph(g.vertices, g.edges.limit(0), closed=True, cliques=g.cliques)
+    return com.label_propagation(alone).select("id", "community")
+
+
+def keyword_search_cursor(spark, folder):
+    """Every result of a search by cursor, a quarter or less on a page."""
+    hits = search.keyword_search(records(spark, folder), "widget", None)
+    per_page = hits.count() // 4 + 1
+    pages = search.keyword_pages(records(spark, folder), "widget", per_page)
+    numbered_pages = [p.select(F.col("paperId").alias("paper_id"), F.lit(n).alias("page")) for n, p in enumerate(pages)]
+    return functools.reduce(DataFrame.unionByName, numbered_pages, hits.limit(0).select(F.col("paperId").alias("paper_id"), F.lit(0).alias("page")))
+
+
+def missing_authors(spark, folder):
+    """Authors scored with and without their column; without it the operator refuses."""
+    g, counts = graph(spark, folder), []
+    for vertices in (g.vertices, g.vertices.drop("authors")):
+        try:
+            scores = rank.author_influence(CitationGraph(vertices, g.edges, closed=True), raw_ranks(spark, folder))
+            counts.append(scores.agg(F.lit(True).alias("has_authors"), F.count("*").alias("n_authors")))
+        except ValueError:
+            counts.append(vertices.agg(F.count("*").alias("n")).select(F.lit(False).alias("has_authors"), F.lit(0).cast("bigint").alias("n_authors")))
+    return counts[0].unionByName(counts[1])
+
+
 def stats(spark, folder):
     return graph_stats(graph(spark, folder))
 
@@ -549,6 +631,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "expand_2hop_capped": expand_2hop_capped,
     "publication_graph": publication_graph,
     "publication_graph_fallback": publication_graph_fallback,
+    "venue_pairs": venue_pairs,
+    "venue_pairs_stats": venue_pairs_stats,
+    "venue_pairs_rank": venue_pairs_rank,
+    "venue_pairs_labels": venue_pairs_labels,
+    "clique_stats": clique_stats,
+    "clique_degrees": clique_degrees,
+    "clique_rank": clique_rank,
+    "clique_rank_normalized": clique_rank_normalized,
+    "clique_modularity": clique_modularity,
+    "clique_labels": clique_labels,
+    "keyword_search_cursor": keyword_search_cursor,
+    "missing_authors": missing_authors,
     "graph_stats": stats,
     "line_coverage": line_coverage,
     "papers_from_json": papers_from_json,

@@ -8,16 +8,20 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from citegraph.operators.cliques import count_pairs
+
 
 @dataclass(frozen=True)
 class CitationGraph:
     """``vertices`` is unique by ``id``; ``edges`` has ``src, dst, weight,
     edge_type``. ``closed`` states that both ends of every edge are vertices, as
-    in every graph the builders of this library return."""
+    in every graph the builders of this library return. ``cliques`` (``clique, id,
+    weight``, see ``operators.cliques``) stands for all pairs of edges inside groups."""
 
     vertices: DataFrame
     edges: DataFrame
     closed: bool = False
+    cliques: DataFrame | None = None
 
     def persist(self, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> "CitationGraph":
         self.vertices.persist(level)
@@ -43,6 +47,8 @@ def graph_stats(graph: CitationGraph) -> DataFrame:
     """One row: number of vertices and edges."""
     n_vertices = graph.vertices.agg(F.count(F.lit(1)).alias("n")).scalar()
     n_edges = graph.edges.agg(F.count(F.lit(1)).alias("n")).scalar()
+    if graph.cliques is not None:
+        n_edges = n_edges + count_pairs(graph.cliques).scalar()
     return graph.vertices.sparkSession.range(1).select(
         n_vertices.alias("n_vertices"), n_edges.alias("n_edges")
     )

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from citegraph.operators.cliques import clique_sizes, others_sum
 from citegraph.operators.graph import CitationGraph
 from citegraph.plans.keys import hashed_index
 from citegraph.plans.layout import MIN_HOT_EDGES, place_by_source
-from citegraph.plans.materialize import checkpointed, materialize
+from citegraph.plans.materialize import broadcast_if_small, checkpointed, materialize
 
 #: Rounds between two written states. A round refers to its predecessor once, so
 #: plans grow linearly; short ones plan faster than the extra small write costs.
@@ -30,7 +31,8 @@ def influence_rank(
     All ranks start at 1. A round sets ``rank = reset + (1 - reset) * sum`` over
     the incoming edges of the citing paper's rank times the weight. ``raw`` sends
     the full rank along every edge; ``normalized`` first divides the weights of a
-    paper by their sum, so that ranks stay comparable between graphs.
+    paper by their sum, so that ranks stay comparable between graphs. A clique
+    sends each member what the others send in total.
 
     Between rounds only the sums are kept: a vertex without a sum has the reset
     value, so no round needs the vertex table and each is one join in place and
@@ -40,13 +42,27 @@ def influence_rank(
         raise ValueError(f"unknown mode {mode!r}")
     index = hashed_index(graph)
     edges = index.edges
+    members = None
+    if graph.cliques is not None:
+        members = materialize(graph.cliques.join(index.vertices, "id").select("clique", F.col("key").alias("dst"), "weight"))
     if mode == "normalized":
+        out_weight = edges.groupBy("src").agg(F.sum("weight").alias("_out"))
+        if members is not None:
+            sized = members.join(broadcast_if_small(clique_sizes(members)), "clique")
+            linked = sized.select(F.col("dst").alias("src"), (F.col("weight") * (F.col("n") - 1)).alias("_out"))
+            out_weight = out_weight.unionByName(linked).groupBy("src").agg(F.sum("_out").alias("_out"))
         # Written first: adaptive execution splits a hot source only in a join
         # whose two sides are plain shuffles.
-        out_weight = materialize(edges.groupBy("src").agg(F.sum("weight").alias("_out")))
+        out_weight = materialize(out_weight)
         edges = edges.join(out_weight, "src").select(
             "src", "dst", (F.col("weight") / F.col("_out")).alias("weight")
         )
+        if members is not None:
+            members = materialize(
+                members.join(out_weight.withColumnRenamed("src", "dst"), "dst").select(
+                    "clique", "dst", F.coalesce(F.col("weight") / F.nullif(F.col("_out"), F.lit(0.0)), F.lit(0.0)).alias("weight")
+                )
+            )
 
     rank = F.lit(reset) + F.lit(1.0 - reset) * F.coalesce(F.col("_sum"), F.lit(0.0))
     layout = place_by_source(edges, min_hot_edges=min_hot_edges)
@@ -55,11 +71,20 @@ def influence_rank(
         if sums is None:
             messages = layout.edges.select("dst", F.col("weight").alias("_part"))
         else:
-            if done % rounds_per_job == 0:
+            if done % rounds_per_job == 0 and members is None:
                 sums = checkpointed(sums)
             state = sums.withColumnRenamed("dst", "src")
             messages = layout.join_state(state, "left").select("dst", (rank * F.col("weight")).alias("_part"))
+        if members is not None:
+            sent = members.withColumn("_sent", F.col("weight"))
+            if sums is not None:
+                sent = members.join(sums, "dst", "left").withColumn("_sent", rank * F.col("weight")).drop("_sum")
+            sent = others_sum(sent, "_sent", "_part")
+            messages = messages.unionByName(sent.select("dst", "_part"))
         sums = messages.groupBy("dst").agg(F.sum("_part").alias("_sum"))
+        if members is not None:
+            # used twice by the next round: for the edges and for the cliques
+            sums = materialize(sums)
 
     ranked = index.vertices
     if sums is None:

@@ -11,11 +11,17 @@ wide records are moved for the result only.
 
 from __future__ import annotations
 
+import base64
+import json
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citegraph.functions.text import CATALOGUE_PREFIX, contains_all, strip_prefix
 from citegraph.operators.normalize import RECORD_ORDER, valid_id
+from citegraph.plans.keys import numbered_rows
+from citegraph.plans.materialize import materialize
 
 _RESULT_ORDER = (F.desc, "cited_by_count"), (F.asc, "paperId")
 
@@ -39,7 +45,7 @@ def _order() -> list[Column]:
 
 
 def _first_matches(
-    papers: DataFrame, match: Column, limit: int | None, offset: int = 0
+    papers: DataFrame, match: Column, limit: int | None, offset: int = 0, after: str | None = None
 ) -> DataFrame:
     match = match & valid_id("paperId")
     hits = (
@@ -50,9 +56,15 @@ def _first_matches(
             F.min_by("cited_by_count", RECORD_ORDER).alias("_cited"),
         )
     )
-    if limit is not None or offset:
-        hits = hits.orderBy(F.desc("_cited"), F.asc("paperId")).offset(offset)
-        hits = hits if limit is None else hits.limit(limit)
+    if after is not None:
+        cited, paper = _read_cursor(after)
+        hits = hits.where((F.col("_cited") < cited) | ((F.col("_cited") == cited) & (F.col("paperId") > paper)))
+    order = [F.desc("_cited"), F.asc("paperId")]
+    if limit is not None:
+        hits = hits.orderBy(*order).offset(offset).limit(limit)
+    elif offset:
+        # an offset alone would bring all results to one task
+        hits = numbered_rows(hits, order, "_at").where(F.col("_at") >= offset).drop("_at")
     # The filter is repeated, so that it reaches the scan of the wide records too.
     return papers.filter(match).join(hits.drop("_cited"), ["paperId", RECORD_ORDER], "left_semi").select(*papers.columns)
 
@@ -63,13 +75,48 @@ def keyword_search(
     limit: int | None = None,
     institution: str | None = None,
     offset: int = 0,
+    after: str | None = None,
 ) -> DataFrame:
     """Papers whose title holds every token, most cited first, ties by id.
 
-    ``offset`` results are skipped, then at most ``limit`` returned.
+    Results up to the cursor ``after`` and then ``offset`` more are skipped, then at
+    most ``limit`` returned.
     """
     match = contains_all(F.col("title"), parse_keywords(keywords)) & in_institution(institution)
-    return _first_matches(papers, match, limit, offset).orderBy(*_order())
+    return _first_matches(papers, match, limit, offset, after).orderBy(*_order())
+
+
+def next_cursor(page: DataFrame) -> str | None:
+    """A token for the place behind the last row of a page of results; None after an empty page."""
+    last = page.agg(F.max(F.struct((-F.col("cited_by_count").cast("bigint")).alias("place"), "paperId"))).first()[0]
+    if last is None:
+        return None
+    return base64.urlsafe_b64encode(json.dumps([-last["place"], last["paperId"]]).encode()).decode()
+
+
+def _read_cursor(token: str) -> tuple[int, str]:
+    try:
+        cited, paper = json.loads(base64.urlsafe_b64decode(token.encode()))
+    except ValueError as error:
+        raise ValueError(f"no cursor: {token!r}") from error
+    return int(cited), str(paper)
+
+
+def keyword_pages(
+    papers: DataFrame, keywords: str | list[str], per_page: int, institution: str | None = None
+) -> Iterator[DataFrame]:
+    """All results of a search in pages, written one after the other.
+
+    Each page is a filter behind the last result and a bounded top ``per_page``, so a
+    late page costs no more than the first and none skips rows.
+    """
+    after = None
+    while True:
+        page = materialize(keyword_search(papers, keywords, per_page, institution, after=after))
+        after = next_cursor(page)
+        if after is None:
+            return
+        yield page
 
 
 def publication_search(

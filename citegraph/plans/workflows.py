@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from citegraph.operators.cliques import clique_of
 from citegraph.operators.dedupe import keep_last
 from citegraph.operators.edges import (
     citation_edges,
@@ -90,18 +91,28 @@ def publication_graph(
     match: str = "venue",
     dedupe: bool = False,
     keep_references: bool = False,
+    fallback: str = "pairs",
 ) -> CitationGraph:
-    """Graph of a venue and year: the citations inside the set or, if there are
-    none, a star around the smallest id; then every edge is there in reverse. Fewer
-    than two papers give an empty graph."""
+    """Graph of a venue and year: the citations inside the set, every edge also in
+    reverse. Without any, all pairs are linked, as one clique of the papers
+    (``fallback="pairs"``), or those with the smallest id (``"star"``). Fewer than
+    two papers give an empty graph."""
+    if fallback not in ("pairs", "star"):
+        raise ValueError(f"unknown fallback {fallback!r}")
     found = publication_search(records, publication, year, limit, institution, match)
     vertices = materialize(to_vertices(found))
     if vertices.limit(2).count() < 2:
         vertices = vertices.filter(F.lit(False))
     edges = materialize(citation_edges(vertices))
-    # the star has both directions already
-    edges = star_fallback_edges(vertices) if edges.isEmpty() else symmetrize(edges, dedupe)
-    return CitationGraph(_kept(vertices, keep_references), materialize(edges), closed=True)
+    cliques = None
+    if not edges.isEmpty():
+        edges = materialize(symmetrize(edges, dedupe))
+    elif fallback == "star":
+        # the star has both directions already
+        edges = materialize(star_fallback_edges(vertices))
+    else:
+        cliques = materialize(clique_of(vertices))
+    return CitationGraph(_kept(vertices, keep_references), edges, closed=True, cliques=cliques)
 
 
 def _kept(vertices: DataFrame, keep_references: bool) -> DataFrame:

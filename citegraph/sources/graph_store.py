@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from citegraph.operators.graph import CitationGraph
-from citegraph.sources.schemas import EDGE, VERTEX
+from citegraph.sources.schemas import CLIQUE, EDGE, VERTEX
 
 
 def graph_paths(root: str, name: str) -> tuple[str, str]:
@@ -16,8 +16,8 @@ def graph_paths(root: str, name: str) -> tuple[str, str]:
 
 
 def save_graph(graph: CitationGraph, name: str, root: str, edge_files: int | None = None) -> tuple[str, str]:
-    """Write vertices by year and edges as Parquet, replacing an older graph of
-    the name; returns both paths.
+    """Write vertices by year, edges and members of cliques as Parquet, replacing an
+    older graph of the name; returns the paths of vertices and edges.
 
     Vertices are rebalanced by year first: a rare year becomes one file, a year
     that holds a large share of all papers is split over many tasks. Edge files
@@ -28,9 +28,17 @@ def save_graph(graph: CitationGraph, name: str, root: str, edge_files: int | Non
     edges = graph.edges.hint("rebalance") if edge_files is None else graph.edges.repartition(edge_files)
     vertices.write.mode("overwrite").partitionBy("year").parquet(vertex_path)
     edges.write.mode("overwrite").parquet(edge_path)
+    cliques = graph.cliques
+    if cliques is None:
+        cliques = graph.vertices.select("id").limit(0).select(F.lit("").alias("clique"), "id", F.lit(1.0).alias("weight"))
+    cliques.write.mode("overwrite").parquet(_clique_path(edge_path))
     return vertex_path, edge_path
 
 
+def _clique_path(edge_path: str) -> str:
+    return f"{edge_path.removesuffix('_edges_weighted')}_cliques"
+
+
 def load_graph(
     spark: SparkSession,
     name: str,
@@ -47,10 +55,14 @@ def load_graph(
     fields = [f for f in VERTEX.fields if keep_references or f.name != "referenced_works"]
     vertices = spark.read.schema(T.StructType(fields)).parquet(vertex_path).select(*[f.name for f in fields])
     edges = spark.read.schema(EDGE).parquet(edge_path)
+    cliques = spark.read.schema(CLIQUE).parquet(_clique_path(edge_path))
+    cliques = None if cliques.isEmpty() else cliques
     if years is None:
-        return CitationGraph(vertices, edges, closed=True)
+        return CitationGraph(vertices, edges, closed=True, cliques=cliques)
     graph = CitationGraph(vertices.filter(F.col("year").isin(years)), edges)
-    return CitationGraph(graph.vertices, graph.closed_edges().select(*EDGE.fieldNames()), closed=True)
+    if cliques is not None:
+        cliques = cliques.join(graph.vertices.select("id"), "id", "left_semi").select(*CLIQUE.fieldNames())
+    return CitationGraph(graph.vertices, graph.closed_edges().select(*EDGE.fieldNames()), closed=True, cliques=cliques)
 
 
 def save_render_tables(nodes: DataFrame, edges: DataFrame, name: str, root: str, fmt: str = "json") -> tuple[str, str]:

@@ -57,3 +57,8 @@ EDGE = T.StructType([
     T.StructField("weight", T.DoubleType()),
     T.StructField("edge_type", T.StringType()),
 ])
+
+#: Members of groups in which every two papers are linked.
+CLIQUE = T.StructType(
+    [T.StructField("clique", T.StringType()), T.StructField("id", T.StringType()), T.StructField("weight", T.DoubleType())]
+)

@@ -144,7 +144,7 @@ def test_publication_graphs(make):
     # The first matching record of W1 cites W2; the edge comes with its reverse.
     assert triples(cited.edges) == [("W1", "W2", "citation"), ("W2", "W1", "citation")]
     uncited = make.records([(i, "t", [], n, 0, 2000, "v", []) for n, i in enumerate("bac")])
-    assert pairs(workflows.publication_graph(uncited, "v", 2000).edges) == [
+    assert pairs(workflows.publication_graph(uncited, "v", 2000, fallback="star").edges) == [
         ("a", "b"), ("a", "c"), ("b", "a"), ("c", "a"),
     ]
     assert workflows.publication_graph(uncited.limit(1), "v", 2000).vertices.count() == 0
