@@ -160,11 +160,11 @@ class Model:
 
 
 def train(docs: DataFrame, learnable: Column, row: Column, text: str = "text", label: str = "lang") -> Model:
-    """Model of ``docs``: frequencies of all rows, weights of a sample of those that are ``learnable``.
+    """Model of ``docs``: frequencies of the rows that are ``learnable``, weights of a sample of them.
 
     ``row`` is what tells rows apart, for the sample and for its order.
     """
-    idf = inverse(*document_frequencies(docs, text))
+    idf = inverse(*document_frequencies(docs.where(learnable), text))
     rows = docs.where(learnable & F.col(label).isNotNull() & F.col(text).isNotNull())
     totals = rows.groupBy(label).agg(F.count("*").alias("n")).orderBy(label).collect()
     names = [r[label] for r in totals]

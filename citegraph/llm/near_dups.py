@@ -42,7 +42,8 @@ from pyspark.sql.window import Window
 from citegraph.llm.common import materialize
 from citegraph.plans.materialize import broadcast_if_small
 
-SHINGLE = 4
+#: Words of a shingle, unless a caller names another number, of at most five.
+SHINGLE = 5
 HASHES, ORDERS = 96, 24
 DEPTHS = (4, 8, 12)
 WIDE = 64
@@ -60,7 +61,7 @@ _MULTIPLY = _SEEDS.integers(1, 1 << 32, HASHES, dtype=np.uint32) | np.uint32(1)
 _ADD = _SEEDS.integers(0, 1 << 32, HASHES, dtype=np.uint32)
 #: Each order starts with values that no other order starts with.
 _READ = np.stack([np.roll(np.arange(HASHES), -DEPTHS[0] * i)[: DEPTHS[-1]] for i in range(ORDERS)])
-_WORD_FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
+_WORD_FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
 class _WordHashes(dict):
@@ -73,12 +74,12 @@ class _WordHashes(dict):
         return made
 
 
-def shingles(text: str | None, words: _WordHashes) -> np.ndarray:
+def shingles(text: str | None, words: _WordHashes, shingle: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the shingles of a text; A-Z count as a-z."""
     hashes = np.fromiter(map(words.__getitem__, (text or "").encode("utf-8", "surrogatepass").lower().split()), np.uint64)
     if not len(hashes):
         return hashes
-    k = min(SHINGLE, len(hashes))
+    k = min(shingle, len(hashes))
     mixed = np.full(len(hashes) - k + 1, k, np.uint64)
     for i in range(k):
         mixed += hashes[i : len(hashes) - k + 1 + i] * _WORD_FACTORS[i]
@@ -96,7 +97,7 @@ def signature(hashes: np.ndarray) -> np.ndarray:
     return found
 
 
-def sketch(docs: DataFrame) -> DataFrame:
+def sketch(docs: DataFrame, shingle: int) -> DataFrame:
     """``doc_id, text_key, n_shingles, digest`` (of the set; null if empty) and ``signature`` per document.
 
     ``text_key`` tells apart the texts of one id.
@@ -108,7 +109,7 @@ def sketch(docs: DataFrame) -> DataFrame:
         for batch in batches:
             rows = []
             for text in batch.column(1):
-                s = shingles(text.as_py(), words)
+                s = shingles(text.as_py(), words, shingle)
                 rows.append((len(s), xxhash.xxh3_128_digest(s.tobytes()), signature(s).tobytes()) if len(s) else (0, None, None))
             n, digest, made = zip(*rows, strict=True) if rows else ((), (), ())
             columns = [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(made, pa.binary())]
@@ -241,13 +242,13 @@ def _merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
     return materialize(named.select("node", F.coalesce("name", "component").alias("component")))
 
 
-def _needed_sets(docs: DataFrame, reps: DataFrame) -> DataFrame:
+def _needed_sets(docs: DataFrame, reps: DataFrame, shingle: int) -> DataFrame:
     """``node, hashes`` (the full set) of the nodes in ``reps`` (``node, doc_id, digest``)."""
 
     def make(batches):
         words = _WordHashes()
         for batch in batches:
-            sets = [shingles(t.as_py(), words).tobytes() for t in batch.column(2)]
+            sets = [shingles(t.as_py(), words, shingle).tobytes() for t in batch.column(2)]
             found = [xxhash.xxh3_128_digest(s) == d.as_py() for s, d in zip(sets, batch.column(1), strict=True)]
             made = pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["node", "hashes"])
             yield made.filter(pa.array(found, pa.bool_()))
@@ -376,13 +377,13 @@ def _named(documents: DataFrame, nodes: DataFrame, labels: DataFrame | None) ->
     return out.select("doc_id", "n_shingles", name.alias("component_id"), kept.alias("kept"), "text_key", "component")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept, text_key, component`` per row of ``docs`` (``doc_id, text``).
 
     ``component`` is a number of the component (null for wordless texts) that also tells apart
     components without an id.
     """
-    documents = materialize(sketch(docs))
+    documents = materialize(sketch(docs, shingle))
     some = documents.where(F.col("digest").isNotNull())
     classes = some.groupBy("digest").agg(
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature")
@@ -395,7 +396,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     crowds = broadcast_if_small(crowds)
     member = materialize(member.join(crowds, "node"))
     reps = materialize(nodes.join(crowds, "node").select("node", "doc_id", "digest", "n_shingles", "signature", "crowd"))
-    sets = materialize(_needed_sets(docs, reps))
+    sets = materialize(_needed_sets(docs, reps, shingle))
 
     labels = None
     tested = reps.limit(0).select(F.col("node").alias("a"), F.col("node").alias("b"))

@@ -31,7 +31,6 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from citegraph.llm.byte_bpe import Encoder
 from citegraph.llm.common import materialize
 
 WINDOW = 1024
@@ -52,24 +51,26 @@ def vocabulary_ranks(vocabulary: dict[str, int]) -> dict[bytes, int]:
     return {bytes(letters[c] for c in token): rank for token, rank in vocabulary.items()}
 
 
-class LibraryEncoder(Encoder):
-    """Ids as the tokenizers library gives them, remembered by chunk.
+class LibraryEncoder:
+    """Ids as the tokenizers library gives them.
 
-    Unknown chunks are encoded by tiktoken from the same vocabulary, which gives the same ids
-    in a tenth of the time; texts that hold an added token are left to the library.
+    Texts are encoded by tiktoken from the same vocabulary, which gives the same ids in a
+    tenth of the time; texts that hold an added token are left to the library.
     """
 
     def __init__(self, path: str):
         import tiktoken
         from tokenizers import Tokenizer
 
-        self.library, self.by_chunk = Tokenizer.from_file(path), {}
+        self.library = Tokenizer.from_file(path)
         self.terms = self.library.get_vocab_size()
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         ranks = vocabulary_ranks(self.library.get_vocab(with_added_tokens=False))
         self.fast = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
-    def _words(self, text: str) -> bytes:
+    def encode(self, text: str) -> bytes:
+        if not text:
+            return b""
         if any(t in text for t in self.added):
             return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
         return array("I", self.fast.encode_ordinary(text)).tobytes()
@@ -101,8 +102,9 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
                 for doc_id, text in zip(part.column(0).to_pylist(), part.column(1), strict=True):
                     ids = np.frombuffer(own.encode(text.as_py() or "") + END.to_bytes(4, "little"), np.uint32)
                     seen[ids] = True
-                    found += seen
-                    seen[ids] = False
+                    once = np.flatnonzero(seen)
+                    found[once] += 1
+                    seen[once] = False
                     cut = len(ids) // WINDOW * WINDOW
                     full = [zlib.crc32(ids[i : i + WINDOW].tobytes()) for i in range(0, cut, WINDOW)]
                     rows.append((doc_id, len(ids), full, ids[cut:].tobytes(), None, None))
@@ -281,6 +283,8 @@ def pack(docs: DataFrame, path: str) -> DataFrame:
             yield shard(rows)
 
     tails = encoded.where(F.octet_length("tail") > 0).select("doc_id", "doc_tokens", "tail", telling_terms(F.col("tail"), shared).alias("_key"))
+    # written, as the split by range reads its input twice
+    tails = materialize(tails)
     order = [F.col("_key.first"), F.col("_key.second"), F.xxhash64("doc_id", "tail"), F.col("doc_id")]
     parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(tails_count(encoded) / SHARD)))
     dealt = tails.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("doc_id", "doc_tokens", "tail")

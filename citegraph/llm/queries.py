@@ -23,7 +23,7 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = near_dups.near_duplicates(prefixed(table(spark, sf_dir, "documents"), "doc_id", "text"))
+    found = near_dups.near_duplicates(prefixed(table(spark, sf_dir, "documents"), "doc_id", "text"), shingle=4)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 

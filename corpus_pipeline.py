@@ -10,6 +10,7 @@ rows near-duplicates keep one; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import functools
 import uuid
 
 import public_tokenizers
@@ -26,6 +27,19 @@ MIN_LANGUAGE = 0.4
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def shielded(stage):
+    """The stage with columns beyond those of documents under names that it does not use."""
+
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        names = {c: c if c in COLUMNS else f"extra_{n}" for n, c in enumerate(docs.columns)}
+        out = stage(spark, docs.select(*(docs[c].alias(name) for c, name in names.items())), sf_dir)
+        return out.select(*(out[name].alias(c) for c, name in names.items()))
+
+    return run_stage
+
+
+@shielded
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents without a letter and those whose language cannot be told."""
     model = spark.sparkContext.broadcast(lang_id.train(docs, F.lit(True), F.col("doc_id")))
@@ -34,11 +48,13 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return said.where(kept).drop("_p")
 
 
+@shielded
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents that fail the base rule or are more probably bad than good."""
     return quality.quality_scores(docs).where("kept").select(*docs.columns)
 
 
+@shielded
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document of the smallest id of each group, one row of it.
 
@@ -55,6 +71,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return alone.unionByName(repeated).select(*docs.columns)
 
 
+@shielded
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces every secret by its kind; ``n_chars`` follows."""
     return secrets.redact_secrets(docs).withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast("bigint"))

@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from citegraph.llm import lang_id
 from citegraph.llm.oracle import ORACLE
 from citegraph.llm.queries import QUERIES
 from checks.compare import connect, differences
@@ -107,11 +108,11 @@ def test_secrets(spark, rows, odd, folder):
     assert Counter((r.doc_id, r.base_sha256) for r in got) == expected
 
 
-def _components(texts):
+def _components(texts, k=4):
     sets = {}
-    for k, (_, text) in enumerate(texts):
+    for n, (_, text) in enumerate(texts):
         words = (text or "").encode().lower().split()
-        sets[k] = frozenset(tuple(words[i : i + 4]) for i in range(len(words) - 3)) if len(words) >= 4 else frozenset([tuple(words)] if words else [])
+        sets[n] = frozenset(tuple(words[i : i + k]) for i in range(len(words) - k + 1)) if len(words) >= k else frozenset([tuple(words)] if words else [])
     label = list(range(len(texts)))
 
     def root(x):
@@ -235,6 +236,13 @@ def test_language_held_out(spark):
     assert sum(r.lang_pred == langs[r.doc_id] for r in found) >= 0.97 * len(found)
 
 
+def test_language_learns_nothing_from_held_out_texts(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang", (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2).alias("held"))
+    models = [lang_id.train(d, ~F.col("held"), F.col("doc_id")) for d in (docs, docs.withColumn("text", F.when(~F.col("held"), F.col("text")).otherwise("other words")))]
+    assert (models[0].weights == models[1].weights).all() and (models[0].idf == models[1].idf).all()
+    assert all(m.predict("the words of a text") == models[0].predict("the words of a text") for m in models)
+
+
 def test_toxicity_held_out(spark):
     folder = "/root/testdata/sf0.1"
     toxic = dict(connect(folder).execute("SELECT doc_id, toxic FROM labels").fetchall())

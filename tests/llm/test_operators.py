@@ -91,7 +91,7 @@ def test_crowded_near_copies_are_one_component(spark):
         texts.append(" ".join(words))
     texts += [" ".join(f"o{j}-{i}" for j in range(50)) for i in range(20)] + [texts[0]] * 300
     found = _near(spark, texts)
-    sets = [near_dups.shingles(t, near_dups._WordHashes()) for t in texts[:400]]
+    sets = [near_dups.shingles(t, near_dups._WordHashes(), 4) for t in texts[:400]]
     alike = lambda a, b: 100 * len(np.intersect1d(a, b)) >= 80 * len(np.union1d(a, b))
     reached, left = {0}, set(range(1, 400))
     while step := {b for b in left if any(alike(sets[a], sets[b]) for a in reached)}:

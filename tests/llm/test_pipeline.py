@@ -33,7 +33,7 @@ def test_stages(spark, tmp_path):
     good = quality.quality_scores(kept["quality"][0]).where("kept").select("doc_id", "text").collect()
     assert Counter(map(tuple, good)) == Counter(texts["quality"])
 
-    groups = _components(before["near_duplicates"])
+    groups = _components(before["near_duplicates"], 5)
     assert sorted(i for i, _ in texts["near_duplicates"]) == sorted({c for _, _, c in groups})
 
     plain = dict(before["secrets"])
@@ -49,6 +49,20 @@ def test_stages(spark, tmp_path):
     assert {r.doc_id: (r.n, r.t) for r in pieces} == {i: (n, n) for i, n in sizes.items()}
 
 
+def test_columns_of_clashing_names_are_returned_untouched(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    names = ["rows", "_id", "_text", "kept", "quality", "_p", "_lines", "component", "n_words", "found", "text_key"]
+    docs = docs.withColumns({c: F.concat(F.lit(f"{c} of "), F.col("doc_id").cast("string")) for c in names})
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        stage(spark, docs, SF).write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+        assert docs.columns == COLUMNS + names
+        wrong = F.lit(False)
+        for c in names:
+            wrong = wrong | (F.col(c) != F.concat(F.lit(f"{c} of "), F.col("doc_id").cast("string")))
+        assert docs.where(wrong).isEmpty() and not docs.isEmpty()
+
+
 def test_run_is_the_stages_in_order(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "quality", "near_duplicates", "secrets", "packing"]
     assert corpus_pipeline.run(spark, SF).columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
