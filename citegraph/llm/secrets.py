@@ -21,6 +21,7 @@ alone; tables may be empty; extra columns are left as they are.
 from __future__ import annotations
 
 import bisect
+import itertools
 import math
 import re
 from collections import Counter
@@ -86,32 +87,45 @@ def weak_parts(text: str, low: str, strong: list[tuple[int, int, str]]) -> list[
         found += [(m.start(), m.end(), "endpoint") for m in ENDPOINT.finditer(text)]
     found += [(m.start(), m.end(), "opaque") for m in OPAQUE.finditer(text) if _opaque(m[0])]
     order = {"ident": 0, "endpoint": 1, "opaque": 2}
-    taken = sorted((s, e) for s, e, _ in strong)
-    kept = []
+    firm = sorted((s, e) for s, e, _ in strong)
+    reached = list(itertools.accumulate((e for _, e in firm), max))
+    kept, spans = [], []
     for s, e, k in sorted(found, key=lambda p: (order[p[2]], p[0])):
-        at = bisect.bisect_left(taken, (s, s))
-        before = any(t[1] > s for t in taken[max(0, at - 3) : at])  # of the three strong kinds, one each may start before
-        if not before and not (at < len(taken) and taken[at][0] < e):
-            bisect.insort(taken, (s, e))
-            kept.append((s, e, k))
+        # strong parts may overlap each other, so the furthest end of all that start before e decides
+        at = bisect.bisect_left(firm, (e,))
+        if at and reached[at - 1] > s:
+            continue
+        at = bisect.bisect_left(spans, (s, s))
+        if (at and spans[at - 1][1] > s) or (at < len(spans) and spans[at][0] < e):
+            continue
+        spans.insert(at, (s, e))
+        kept.append((s, e, k))
     return kept
 
 
 class _Line:
-    """Sorted parts of one role; tells whether one of them lies in the scope of a part."""
+    """Sorted parts of one role; tells whether one of them lies in the scope of a part.
+
+    A part may end after later ones, so each knows the furthest end up to it in its paragraph.
+    """
 
     def __init__(self, parts: list[tuple[int, int, str]], breaks: list[int]):
-        self.parts, self.breaks = sorted(parts), breaks
-        self.starts = [p[0] for p in self.parts]
+        self.breaks = breaks
+        self.starts, self.paragraphs, self.reached = [], [], []
+        for s, e, _ in sorted(parts):
+            paragraph = bisect.bisect_right(breaks, s)
+            if self.paragraphs and self.paragraphs[-1] == paragraph:
+                e = max(e, self.reached[-1])
+            self.starts.append(s)
+            self.paragraphs.append(paragraph)
+            self.reached.append(e)
 
     def near(self, start: int, end: int) -> bool:
         paragraph = bisect.bisect_right(self.breaks, start)
         at = bisect.bisect_left(self.starts, start)
-        for s, e, _ in (*self.parts[max(0, at - 1) : at], *self.parts[at : at + 1]):
-            gap = s - end if s >= start else start - e
-            if gap <= REACH and bisect.bisect_right(self.breaks, s) == paragraph:
-                return True
-        return False
+        if at and self.paragraphs[at - 1] == paragraph and start - self.reached[at - 1] <= REACH:
+            return True
+        return at < len(self.starts) and self.paragraphs[at] == paragraph and self.starts[at] - end <= REACH
 
 
 def link(strong: list, weak: list, text: str) -> list[tuple[int, int, str]]:

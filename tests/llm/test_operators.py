@@ -28,6 +28,48 @@ def test_weak_parts_need_their_complement():
     assert [k for k, _ in kinds(f"AKIA{'A' * 16} {opaque}")] == ["access", "opaque"]
 
 
+def test_long_parts_reach_beyond_short_ones_inside_them():
+    inside = f"token={'a1' * 12}.{'x' * 280}"
+    found = kinds(f"{inside} user: bob12")
+    assert [k for k, _ in found] == ["assign", "hex", "ident"]
+    runs = ".".join(["0123456789abcdef01234567"] * 3)
+    covered = f"user: bob secret={runs}.Zk3fQ9xTb7LmW2pR8vYc"
+    assert [k for k, _ in kinds(covered)] == ["ident", "assign", "hex", "hex", "hex"]
+
+
+def linked_pair_by_pair(text):
+    """Weak parts and links held against every part, without sorting."""
+    low = text.lower()
+    strong = secrets.strong_parts(text, low)
+    weak = secrets.weak_parts(text, low, strong)
+    every = [*strong, *weak]
+    assert not [1 for i, w in enumerate(weak) for o in (*strong, *weak[:i]) if w[0] < o[1] and o[0] < w[1]]
+    breaks = [m.end() for m in secrets.BLANK_LINE.finditer(text)]
+    part = lambda at: sum(b <= at for b in breaks)
+
+    def near(p, kinds):
+        gap = lambda o: o[0] - p[1] if o[0] >= p[0] else p[0] - o[1]
+        return any(o is not p and o[2] in kinds and gap(o) <= secrets.REACH and part(o[0]) == part(p[0]) for o in every)
+
+    names, values, places = ("access", "ident"), ("assign", "hex", "opaque"), ("endpoint",)
+    needed = {
+        "opaque": lambda p: near(p, names) or near(p, places),
+        "ident": lambda p: near(p, values),
+        "endpoint": lambda p: near(p, names) and near(p, values),
+    }
+    kept = [*strong, *(p for p in weak if needed[p[2]](p))]
+    return sorted((k, s, e) for s, e, k in kept)
+
+
+def test_links_equal_those_of_all_pairs():
+    own = np.random.default_rng(5)
+    pieces = ["user: bob12", "token=" + "a1" * 12 + ".tail", "0123456789abcdef01234567", "Zk3fQ9xTb7LmW2pR8vYc", "https://db.example.com/x",
+              "AKIA" + "B" * 16, "word " * 30, "y" * 150, "\n\n", "host=db.example", "secret=" + "q7" * 90, "."]
+    for _ in range(400):
+        text = "".join(pieces[i] + (" ", "", "\n")[own.integers(3)] for i in own.integers(0, len(pieces), own.integers(1, 12)))
+        assert sorted(secrets.scan(text)) == linked_pair_by_pair(text)
+
+
 def test_redaction(spark):
     docs = spark.createDataFrame([(1, "a password=abcdef12 b"), (2, None), (3, "clean")], "doc_id bigint, text string")
     assert [r.text for r in secrets.redact_secrets(docs).orderBy("doc_id").collect()] == ["a [assign] b", None, "clean"]
