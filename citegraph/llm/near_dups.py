@@ -313,7 +313,7 @@ def _across(rows: DataFrame, sets: DataFrame, sizes: DataFrame) -> DataFrame:
     second kind shares is at most what either has besides its rare shingles; pairs which that
     keeps from being linked are not made. One of a pair is outside its region's largest
     component, so a region that is nearly one component has few pairs. The members are cut
-    into blocks of about ``WIDE``.
+    into blocks of about ``WIDE``. Of the regions that a pair shares, the smallest one makes it.
     """
     counts = rows.groupBy("region", "component").agg(F.count("*").alias("n"))
     state = counts.groupBy("region").agg(F.max(F.struct("n", "component")).alias("most"), F.count("*").alias("kinds"))
@@ -347,9 +347,12 @@ def _across(rows: DataFrame, sets: DataFrame, sizes: DataFrame) -> DataFrame:
 
     large = known.where(100 * F.col("common") >= PERCENT * F.col("n")).select("node", "n", "common")
     members = opened.join(broadcast_if_small(materialize(large)), "node")
+    # a node is in one region of each order at most
+    lower = Window.partitionBy("node").orderBy("region").rowsBetween(Window.unboundedPreceding, -1)
+    members = materialize(members.withColumn("lower", F.collect_list("region").over(lower)))
     blocks = F.ceil(F.col("size") / WIDE).cast("int")
     outside = members.where(F.col("component") != F.col("largest")).select(
-        "region", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), "node", "component", "n", "common"
+        "region", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), "node", "component", "n", "common", "lower"
     )
     everyone = members.select(
         "region",
@@ -358,10 +361,12 @@ def _across(rows: DataFrame, sets: DataFrame, sizes: DataFrame) -> DataFrame:
         F.col("component").alias("_c"),
         F.col("n").alias("_n"),
         F.col("common").alias("_s"),
+        F.col("lower").alias("_lower"),
         (F.col("component") == F.col("largest")).alias("in_largest"),
     )
     apart = (F.col("component") != F.col("_c")) & (F.col("in_largest") | (F.col("node") < F.col("other")))
-    by_region = outside.join(everyone, ["region", "block"]).where(apart & possible("common", "_s")).select("node", "other")
+    first = ~F.arrays_overlap("lower", "_lower")
+    by_region = outside.join(everyone, ["region", "block"]).where(apart & possible("common", "_s") & first).select("node", "other")
     return by_shingle.union(by_region)
 
 
