@@ -322,6 +322,16 @@ ORACLE: dict[str, str] = {
         RECORDS,
         """SELECT count(*) AS n_records, count(*) FILTER (record_seq % 10 = 0) AS n_rejected,
   count(*) FILTER (record_seq % 10 IN (0, 1)) AS n_without_id FROM p""",
+    ),
+    "rejected_lines": _sql(
+        RECORDS,
+        """SELECT record_seq, CASE record_seq % 10 WHEN 0 THEN 'not json' WHEN 1 THEN 'no id' ELSE 'wrong type' END AS reason,
+  record_seq % 10 = 2 AS kept FROM p WHERE record_seq % 10 < 3""",
+    ),
+    "ingested_papers": _sql(
+        RECORDS,
+        """SELECT paper_id, title, CASE WHEN record_seq % 10 <> 2 THEN year END AS year, CAST(len(authors) AS INTEGER) AS n_authors
+FROM p WHERE record_seq % 10 > 1""",
     ),
     "publication_graph_too_small": "SELECT 'a' AS src, 'b' AS dst, 1.0::DOUBLE AS weight, 'citation' AS edge_type WHERE false",
     "weighted_rank": _sql(f"{_WEIGHTED},\n{_ranks('raw')}", "SELECT id, round(log10(rank), 6) AS log_rank FROM ranks"),
@@ -361,6 +371,7 @@ ORACLE: dict[str, str] = {
         RECORDS,
         "SELECT paper_id, title, year, CAST(len(authors) AS INTEGER) AS n_authors, array_to_string(refs, ',') AS refs_joined FROM p",
     ),
+    "archived_search": _sql(f"{RECORDS},\n{_search(_RED_GEAR, 100)}", "SELECT paper_id, title, year, cited_by_count FROM hits"),
     "keyword_search": _sql(f"{RECORDS},\n{_search(f'{_RED_GEAR} AND {_at('R1')}', 100)}", _SEARCH_COLUMNS),
     "keyword_search_all": _sql(f"{RECORDS},\n{_search(_WIDGET, None)}", _SEARCH_COLUMNS),
     "keyword_search_page": _sql(f"{RECORDS},\n{_search(_WIDGET, 50, 100)}", "SELECT paper_id FROM hits"),

@@ -179,6 +179,18 @@ def raw_archive_roundtrip(spark, folder):
     )
 
 
+def archived_search(spark, folder):
+    """The works that a search archived, found by the name of the query."""
+    target = f"{checkpoint_dir(spark)}/archive-{uuid.uuid4().hex}"
+    raw = raw_works(spark, folder)
+    archive = workflows.Archive(raw, target)
+    workflows.keyword_graph(records(spark, folder), KEYWORDS, 100, archive=archive)
+    workflows.id_graph(records(spark, folder), [CENTRE], archive=archive)
+    words = KEYWORDS if isinstance(KEYWORDS, str) else ", ".join(KEYWORDS)
+    back = normalize_works(work_files.read_archives(spark, target, f"keyword_{words}"))
+    return back.select(F.col("paperId").alias("paper_id"), "title", "year", "cited_by_count")
+
+
 # searches
 
 
@@ -409,6 +421,35 @@ def rejected_records(spark, folder):
     return work_files.count_rejects(spark, path)
 
 
+def _faulty_lines(spark, folder) -> str:
+    """Of ten lines one is cut short, one has no id and one a year that is no number."""
+    rows = records(spark, folder)
+    columns = ["record_seq", *(c for c in rows.columns if c != "record_seq")]
+
+    def line(**other):
+        return F.to_json(F.struct(*[other.get(c, F.col(c)).alias(c) for c in columns]))
+
+    whole, fault = line(), F.col("record_seq") % 10
+    cut = F.substr(whole, F.lit(1), F.length(F.col("record_seq").cast("string")) + 24)
+    text = F.when(fault == 0, cut).when(fault == 1, line(paperId=F.lit(None).cast("string"))).when(fault == 2, line(year=F.lit("soon"))).otherwise(whole)
+    path = f"{checkpoint_dir(spark)}/lines-{uuid.uuid4().hex}"
+    rows.select(text.alias("value")).write.text(path)
+    return path
+
+
+def _ingested(spark, folder) -> work_files.Ingested:
+    return work_files.ingest_papers(spark, _faulty_lines(spark, folder), f"{checkpoint_dir(spark)}/ingested-{uuid.uuid4().hex}")
+
+
+def rejected_lines(spark, folder):
+    number = F.regexp_extract("line", r'"record_seq":(\d+)', 1).cast("bigint")
+    return _ingested(spark, folder).rejects.select(number.alias("record_seq"), "reason", "kept")
+
+
+def ingested_papers(spark, folder):
+    return _ingested(spark, folder).papers.select(F.col("paperId").alias("paper_id"), "title", "year", F.size("authors").alias("n_authors"))
+
+
 def publication_graph_too_small(spark, folder):
     return _edges(workflows.publication_graph(records(spark, folder), "no venue has this name", YEAR), "edge_type")
 
@@ -609,6 +650,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_first_wins": json_first_wins,
     "safe_payload_names": safe_payload_names,
     "raw_archive_roundtrip": raw_archive_roundtrip,
+    "archived_search": archived_search,
     "keyword_search": keyword_search,
     "keyword_search_all": keyword_search_all,
     "keyword_search_page": keyword_search_page,
@@ -647,6 +689,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "line_coverage": line_coverage,
     "papers_from_json": papers_from_json,
     "rejected_records": rejected_records,
+    "rejected_lines": rejected_lines,
+    "ingested_papers": ingested_papers,
     "publication_graph_too_small": publication_graph_too_small,
     "weighted_rank": weighted_rank,
     "weighted_rank_normalized": weighted_rank_normalized,

@@ -1,10 +1,13 @@
 """The three ways to build a graph from normalised records.
 
 ``records`` is the result of ``normalize_works``: possibly several records per id.
+With an ``archive`` a builder also keeps the raw works that its search found.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +24,23 @@ from citegraph.operators.graph import CitationGraph
 from citegraph.operators.normalize import RECORD_ORDER, to_vertices
 from citegraph.operators.search import bare_ids, keyword_search, lookup_by_ids, publication_search, seed_ids
 from citegraph.plans.materialize import materialize
+from citegraph.sources.works import archive_raw
+
+
+@dataclass
+class Archive:
+    """Where builders keep what they found: the ``raw`` works that the records were made
+    of, with the same ``record_seq``, and a shared folder."""
+
+    raw: DataFrame
+    folder: str
+
+    def keep(self, found: DataFrame, query_name: str, parameters: dict) -> str | None:
+        """Archive the raw works of ``found``; nothing is written for an empty search."""
+        if found.isEmpty():
+            return None
+        works = self.raw.join(found.select(RECORD_ORDER), RECORD_ORDER, "left_semi").drop(RECORD_ORDER)
+        return archive_raw(works, self.folder, query_name, parameters)
 
 
 def whole_graph(records: DataFrame) -> CitationGraph:
@@ -42,6 +62,7 @@ def keyword_graph(
     central: str | None = None,
     institution: str | None = None,
     keep_references: bool = True,
+    archive: Archive | None = None,
 ) -> CitationGraph:
     """Graph of a keyword search.
 
@@ -52,12 +73,17 @@ def keyword_graph(
     """
     spark = records.sparkSession
     found = materialize(keyword_search(records, keywords, limit, institution))
+    if archive is not None:
+        words = keywords if isinstance(keywords, str) else ", ".join(keywords)
+        archive.keep(found, f"keyword_{words}", {"query": words, "limit": limit})
     centre = None
     if central and not found.isEmpty():
         bare = bare_ids([central])
         centre = bare[0] if bare else None
     if centre is not None and found.filter(F.col("paperId") == centre).isEmpty():
         looked_up = materialize(lookup_by_ids(records, seed_ids(spark, [centre])))
+        if archive is not None:
+            archive.keep(looked_up, "keyword_central_paper", {"ids": centre})
         found = materialize(found.unionByName(looked_up))
         if looked_up.isEmpty():
             centre = None
@@ -72,11 +98,15 @@ def id_graph(
     max_hops: int = 1,
     per_hop_limit: int | None = None,
     keep_references: bool = False,
+    archive: Archive | None = None,
 ) -> CitationGraph:
     """Graph of the seeds and of what they cite within ``max_hops`` hops; a star
     around the smallest id if nothing in the set cites anything in it."""
     reached = expand_references(records, seed_ids(records.sparkSession, seeds), max_hops, per_hop_limit)
     keys = materialize(reached.select(F.col("id").alias("paperId"), RECORD_ORDER))
+    if archive is not None:
+        wanted = ",".join(bare_ids(seeds))
+        archive.keep(keys, "ids", {"ids": wanted, "max_hops": max_hops, "per_hop_limit": per_hop_limit})
     papers = records.join(keys, ["paperId", RECORD_ORDER], "left_semi")
     vertices = materialize(to_vertices(papers))
     return CitationGraph(_kept(vertices, keep_references), _citations_or_star(vertices), closed=True)
@@ -92,6 +122,7 @@ def publication_graph(
     dedupe: bool = False,
     keep_references: bool = False,
     fallback: str = "pairs",
+    archive: Archive | None = None,
 ) -> CitationGraph:
     """Graph of a venue and year: the citations inside the set, every edge also in
     reverse. Without any, all pairs are linked, as one clique of the papers
@@ -100,6 +131,9 @@ def publication_graph(
     if fallback not in ("pairs", "star"):
         raise ValueError(f"unknown fallback {fallback!r}")
     found = publication_search(records, publication, year, limit, institution, match)
+    if archive is not None:
+        found = materialize(found)
+        archive.keep(found, f"publication_{publication}_{year}", {"publication": publication, "year": year, "limit": limit})
     vertices = materialize(to_vertices(found))
     if vertices.limit(2).count() < 2:
         vertices = vertices.filter(F.lit(False))

@@ -62,3 +62,21 @@ EDGE = T.StructType([
 CLIQUE = T.StructType(
     [T.StructField("clique", T.StringType()), T.StructField("id", T.StringType()), T.StructField("weight", T.DoubleType())]
 )
+
+#: A line that was not read in full, as ``ingest_papers`` keeps it.
+REJECT = T.StructType([
+    T.StructField("file", T.StringType()),
+    T.StructField("place", T.LongType()),
+    T.StructField("line", T.StringType()),
+    T.StructField("reason", T.StringType()),
+    T.StructField("kept", T.BooleanType()),
+])
+
+#: An archive of raw works in the manifest of its folder.
+ARCHIVE = T.StructType([
+    T.StructField("query", T.StringType()),
+    T.StructField("saved_at", T.TimestampType()),
+    T.StructField("path", T.StringType()),
+    T.StructField("n_works", T.LongType()),
+    T.StructField("parameters", T.StringType()),
+])

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import json
 import re
+from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from citegraph.operators.normalize import RECORD_ORDER, valid_id
-from citegraph.sources.schemas import PAPER, RAW_WORK
+from citegraph.sources.schemas import ARCHIVE, PAPER, RAW_WORK, REJECT
+from citegraph.sources.versions import path_exists
 
 CORRUPT = "_corrupt_record"
 
@@ -18,13 +21,14 @@ CORRUPT = "_corrupt_record"
 FILE_BITS = 43
 
 
-def read_works(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
+def read_works(spark: SparkSession, path: str | list[str], fmt: str = "json") -> DataFrame:
     """Raw works with the needed fields only. ``fmt`` is ``json`` (one record per
     line, compressed or not) or ``parquet``; Parquet may carry ``record_seq``. Without
     one, records are ordered by the path of their file and their place in it."""
     if fmt not in ("json", "parquet"):
         raise ValueError(f"unknown format {fmt!r}")
-    stored = spark.read.schema(RAW_WORK).json(path) if fmt == "json" else spark.read.parquet(path)
+    paths = [path] if isinstance(path, str) else path
+    stored = spark.read.schema(RAW_WORK).json(paths) if fmt == "json" else spark.read.parquet(*paths)
     if RECORD_ORDER in stored.columns:
         return stored.select(*RAW_WORK.fieldNames(), RECORD_ORDER)
     return _in_source_order(stored, RAW_WORK.fieldNames())
@@ -83,6 +87,53 @@ def count_rejects(spark: SparkSession, path: str, schema: T.StructType = PAPER)
     )
 
 
+@dataclass
+class Ingested:
+    """``papers`` with an id; ``rejects``, a row per faulty line; ``counts`` of both."""
+
+    papers: DataFrame
+    rejects: DataFrame
+    counts: dict[str, int]
+
+
+def ingest_papers(spark: SparkSession, path: str, target: str) -> Ingested:
+    """Read JSON lines once, parted into papers and rejected lines, both kept in ``target``.
+
+    A reject has its ``file``, ``place`` (grows along the file), ``line``, whether its paper
+    was kept, and the ``reason``: ``not json``, ``wrong type`` (such a field is null in the
+    paper, if that has an id) or ``no id``. Blank lines are no records. ``counts`` are those
+    of ``count_rejects``, observed while the rows are written.
+    """
+    parsed = F.from_json("line", T.StructType([*PAPER.fields, T.StructField(CORRUPT, T.StringType())]), {"columnNameOfCorruptRecord": CORRUPT})
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) + F.col("_metadata.file_block_start")
+    lines = spark.read.text(path).select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"), place.alias("place"))
+    rows = lines.where(F.trim("line") != "").withColumn("r", parsed)
+    key, corrupt = F.col("r.paperId"), F.col(f"r.{CORRUPT}").isNotNull()
+    no_id = key.isNull() | (key == "")
+    reason = F.when(corrupt & F.try_parse_json("line").isNull(), "not json").when(corrupt, "wrong type").when(no_id, "no id")
+    faulty = reason.isNotNull()
+    written = rows.select(
+        *[F.col(f"r.{f.name}").alias(f.name) for f in PAPER.fields],
+        "file",
+        "place",
+        F.when(faulty, F.col("line")).alias("line"),
+        reason.alias("reason"),
+        corrupt.alias("corrupt"),
+        (~no_id).alias("kept"),
+    )
+    seen = Observation()
+    counts = {
+        "n_records": F.count(F.lit(1)),
+        "n_rejected": F.count_if("corrupt"),
+        "n_without_id": F.count_if(~F.col("kept")),
+    }
+    written = written.observe(seen, *[c.alias(n) for n, c in counts.items()]).drop("corrupt")
+    written.write.partitionBy("kept").parquet(target)
+    stored = spark.read.schema(T.StructType([*PAPER.fields, *REJECT.fields])).parquet(target)
+    papers = stored.where("kept").select(*PAPER.fieldNames())
+    return Ingested(papers, stored.where(F.col("reason").isNotNull()).select(*REJECT.fieldNames()), dict(seen.get))
+
+
 def archive_path(spark: SparkSession, folder: str, query_name: str, at: datetime | None = None) -> str:
     """Folder of an archive: safe form of the query name and a UTC stamp."""
     stamp = (at or datetime.now(timezone.utc)).strftime("%Y%m%dT%H%M%SZ")
@@ -92,14 +143,50 @@ def archive_path(spark: SparkSession, folder: str, query_name: str, at: datetime
 
 def archive_raw(works: DataFrame, folder: str, query_name: str, parameters: dict | None = None) -> str:
     """Keep raw records as compressed JSON lines, each with the parameters of the
-    query that fetched them. Returns the path."""
-    path = archive_path(works.sparkSession, folder, query_name)
+    query that fetched them, and list the archive in the folder's manifest. Returns the path."""
+    spark = works.sparkSession
+    at = datetime.now(timezone.utc).replace(microsecond=0)
+    path = archive_path(spark, folder, query_name, at)
     wrapped = works
     for name, value in (parameters or {}).items():
-        wrapped = wrapped.withColumn(f"query_{name}", F.lit(value))
-    wrapped.write.option("compression", "gzip").json(path)
+        wrapped = wrapped.withColumn(f"query_{name}", F.lit(None).cast("string") if value is None else F.lit(value))
+    seen = Observation()
+    wrapped.observe(seen, F.count(F.lit(1)).alias("n")).write.option("compression", "gzip").json(path)
+    row = (query_name, at, path, seen.get["n"], json.dumps(parameters or {}, ensure_ascii=False))
+    spark.createDataFrame([row], ARCHIVE).coalesce(1).write.mode("append").parquet(_manifest_path(folder))
     return path
 
 
-def read_archive(spark: SparkSession, path: str) -> DataFrame:
+def _manifest_path(folder: str) -> str:
+    return f"{folder.rstrip('/')}/raw_json_manifest"
+
+
+def archives(
+    spark: SparkSession, folder: str, query_name: str | None = None, since: datetime | None = None, until: datetime | None = None
+) -> DataFrame:
+    """The archives of a folder by its manifest: of one query, saved at ``since`` or later and before ``until``."""
+    manifest = _manifest_path(folder)
+    listed = spark.read.schema(ARCHIVE).parquet(manifest) if path_exists(spark, manifest) else spark.createDataFrame([], ARCHIVE)
+    if query_name is not None:
+        listed = listed.where(F.col("query") == query_name)
+    if since is not None:
+        listed = listed.where(F.col("saved_at") >= F.lit(since))
+    if until is not None:
+        listed = listed.where(F.col("saved_at") < F.lit(until))
+    return listed
+
+
+def read_archive(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return read_works(spark, path, "json")
+
+
+def read_archives(
+    spark: SparkSession, folder: str, query_name: str | None = None, since: datetime | None = None, until: datetime | None = None
+) -> DataFrame:
+    """Raw works of the archives that ``archives`` finds; only their files are listed and read.
+    Records are ordered by path, so those of one query by the time they were saved."""
+    # one row per archive, as a listing of the folder would give
+    found = archives(spark, folder, query_name, since, until).orderBy("saved_at", "path").collect()
+    if not found:
+        return spark.createDataFrame([], T.StructType([*RAW_WORK.fields, T.StructField(RECORD_ORDER, T.LongType())]))
+    return read_archive(spark, [r.path for r in found])

@@ -2,6 +2,9 @@ import glob
 import json
 from datetime import datetime
 
+import pytest
+from pyspark.sql import functions as F
+
 from citegraph.operators.graph import CitationGraph
 from citegraph.operators.normalize import normalize_works
 from citegraph.sources import graph_store, works
@@ -45,6 +48,101 @@ def test_archive(spark, tmp_path):
     assert works.archive_path(spark, "x", "n" * 99, at) == "x/raw_json/" + "n" * 80 + "_20240506T070809Z"
 
 
+def test_one_pass_parts_papers_from_rejects(spark, tmp_path):
+    path = tmp_path / "papers.json"
+    lines = ['{"paperId": "a", "year": "x", "title": "t"}', "{broken", '{"paperId": ""}', "", '{"paperId": "b", "year": 3}', '{"year": "x"}', '{"paperId": "c"']
+    path.write_text("\n".join(lines) + "\n")
+    got = works.ingest_papers(spark, str(path), str(tmp_path / "kept"))
+    assert {r.paperId: (r.title, r.year) for r in got.papers.collect()} == {"a": ("t", None), "b": (None, 3)}
+    rejects = got.rejects.orderBy("place").collect()
+    assert [(r.line, r.reason, r.kept) for r in rejects] == [
+        (lines[0], "wrong type", True), (lines[1], "not json", False), (lines[2], "no id", False),
+        (lines[5], "wrong type", False), (lines[6], "not json", False),
+    ]
+    assert all(r.file.endswith("papers.json") for r in rejects)
+    assert tuple(got.counts[n] for n in ("n_records", "n_rejected", "n_without_id")) == tuple(works.count_rejects(spark, str(path)).first())
+    empty = tmp_path / "empty.json"
+    empty.write_text("\n")
+    none = works.ingest_papers(spark, str(empty), str(tmp_path / "none"))
+    assert none.papers.isEmpty() and none.rejects.isEmpty() and none.counts["n_records"] == 0
+
+
+def test_archives_are_found_by_name_and_time(spark, tmp_path):
+    folder = str(tmp_path)
+    assert works.archives(spark, folder).isEmpty() and works.read_archives(spark, folder).isEmpty()
+    made = lambda i: spark.createDataFrame([(f"W{i}", f"t{i}")], "id string, title string")
+    works.archive_raw(made(1), folder, "keyword_a b", {"limit": None})
+    works.archive_raw(made(2), folder, "ids", {"limit": 7})
+    listed = {r.query: r for r in works.archives(spark, folder).collect()}
+    assert (listed["ids"].n_works, listed["ids"].parameters, listed["keyword_a b"].parameters) == (1, '{"limit": 7}', '{"limit": null}')
+    # the folder of the other archive is not even listed
+    found = works.read_archives(spark, folder, "ids")
+    assert [r.id for r in found.collect()] == ["W2"] and all("/ids_" in f for f in found.inputFiles())
+    assert sorted(r.id for r in works.read_archives(spark, folder).collect()) == ["W1", "W2"]
+    at = listed["ids"].saved_at
+    assert works.archives(spark, folder, until=at.replace(year=2000)).isEmpty()
+    assert works.archives(spark, folder, "ids", since=at.replace(year=2000)).count() == 1
+
+
+def test_builders_archive_what_they_found(spark, tmp_path):
+    from citegraph.plans import workflows
+
+    line = '{"id": "https://openalex.org/%s", "title": "%s", "publication_year": 2000, "referenced_works": ["https://openalex.org/W2"], "primary_location": {"source": {"display_name": "J"}}}\n'
+    path = tmp_path / "works.json"
+    path.write_text(line % ("W1", "deep sea") + line % ("W2", "other") + line % ("W1", "deep sea again") + line % ("W3", "deep"))
+    raw = works.read_works(spark, str(path))
+    records, archive = normalize_works(raw), workflows.Archive(raw, str(tmp_path / "out"))
+    workflows.keyword_graph(records, "deep", 10, central="W2", archive=archive)
+    workflows.id_graph(records, ["W1"], max_hops=1, archive=archive)
+    workflows.publication_graph(records, "j", 2000, archive=archive)
+    workflows.keyword_graph(records, "nothing", archive=archive)
+    ids = lambda name: sorted((r.id[-2:], r.title) for r in works.read_archives(spark, archive.folder, name).collect())
+    assert ids("keyword_deep") == [("W1", "deep sea"), ("W3", "deep")]
+    assert ids("keyword_central_paper") == [("W2", "other")]
+    assert ids("publication_j_2000") == [("W1", "deep sea"), ("W2", "other"), ("W3", "deep")]
+    assert [i for i, _ in ids("ids")] == ["W1", "W2"]
+    assert works.archives(spark, archive.folder).count() == 4
+
+
+def test_a_graph_is_replaced_as_a_whole(spark, make, tmp_path, monkeypatch):
+    old = CitationGraph(make.vertices({"a": ["b"], "b": []}), make.edges([("a", "b")]), closed=True)
+    new = CitationGraph(make.vertices({"c": ["d"], "d": []}), make.edges([("c", "d")]), closed=True)
+    root, ids = str(tmp_path), lambda g: ({r.id for r in g.vertices.collect()}, pairs(g.edges))
+    graph_store.save_graph(old, "g", root)
+    reader = graph_store.load_graph(spark, "g", root)
+
+    def stop(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        # vertices and edges are written, nothing is in force
+        m.setattr(graph_store.versions, "commit", stop)
+        with pytest.raises(RuntimeError):
+            graph_store.save_graph(new, "g", root)
+    assert ids(graph_store.load_graph(spark, "g", root)) == ({"a", "b"}, [("a", "b")])
+    broken = CitationGraph(new.vertices, new.edges.withColumn("weight", F.raise_error(F.lit("lost")).cast("double")), closed=True)
+    with pytest.raises(Exception, match="lost"):
+        graph_store.save_graph(broken, "g", root)
+    assert ids(graph_store.load_graph(spark, "g", root)) == ({"a", "b"}, [("a", "b")])
+    graph_store.save_graph(new, "g", root)
+    assert ids(graph_store.load_graph(spark, "g", root)) == ({"c", "d"}, [("c", "d")])
+    assert ids(reader) == ({"a", "b"}, [("a", "b")])  # started before, reads on
+    assert graph_store.drop_old_graphs(spark, "g", root) == []
+    assert len(graph_store.drop_old_graphs(spark, "g", root, keep=1)) == 1
+    assert ids(graph_store.load_graph(spark, "g", root)) == ({"c", "d"}, [("c", "d")])
+
+
+def test_a_graph_saved_without_versions_loads(spark, make, tmp_path):
+    v, e = make.vertices({"a": ["b"], "b": []}), make.edges([("a", "b")])
+    graph_store.save_graph(CitationGraph(v, e, closed=True), "g", str(tmp_path))
+    paths = [*graph_store.graph_paths(str(tmp_path), "plain"), f"{tmp_path}/processed/plain_cliques"]
+    v.write.partitionBy("year").parquet(paths[0])
+    e.write.parquet(paths[1])
+    spark.createDataFrame([], graph_store.CLIQUE).write.parquet(paths[2])
+    back = graph_store.load_graph(spark, "plain", str(tmp_path))
+    assert sorted(back.vertices.collect()) == sorted(v.collect()) and pairs(back.edges) == [("a", "b")]
+
+
 def test_graph_roundtrip(spark, make, tmp_path):
     v = make.vertices({"a": ["b"], "b": [], "c": ["a"]}, years={"a": -1, "b": 2000, "c": 2001})
     g = CitationGraph(v, make.edges([("a", "b"), ("c", "a")]), closed=True)
