@@ -175,12 +175,11 @@ def quality_probability(model: dict, rules: tuple[Rule, ...] = RULES) -> Column:
 def quality_scores(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with statistics, votes, ``quality`` (posterior), ``base_failed`` and ``kept``.
 
-    The statistics are written once, without the texts' columns being read a second time for
-    the fit: the fit needs only the votes.
+    Texts are cut into words once: the rows are written with their votes, of which the fit
+    reads only the votes.
     """
-    voted = votes(text_statistics(docs, text))
-    model = fit(votes(text_statistics(docs.select(F.col(text).alias("text")))))
-    return judged(voted, model)
+    voted = materialize(votes(text_statistics(docs, text)))
+    return judged(voted, fit(voted))
 
 
 def judged(voted: DataFrame, model: dict) -> DataFrame:
