@@ -2,9 +2,12 @@ r"""Chat formatting by prefix-target expansion, in DataFrame operations only.
 
 A conversation is written once, its turns in order as ``### role: text</turn>\n``. Every
 assistant turn becomes an example of its own: all that precedes it is context, and only
-its reply is under the loss mask. An example is therefore a prefix of the formatted
-conversation and is kept as a range in it, so the expansion takes linear space however
-long a conversation is; ``example_texts`` writes the ranges out as prompt and reply.
+its reply is under the loss mask. ``example_texts`` explodes these examples, each with its
+whole prompt, and ``rest``, what follows the last reply; everything that is read back comes
+from these rows. An example is a prefix of the formatted conversation, so its place in it
+is kept as a range until then: one row of a conversation makes its examples one after the
+other and a task holds one prompt at a time. The texts of all prompts together grow with the
+square of a conversation's turns, as the method has it.
 
 Control strings inside texts are escaped reversibly: ``\`` as ``\b``, ``###`` as ``\h``
 and ``</turn>`` as ``\t`` (in roles also ``:`` as ``\c``). Every backslash of an escaped
@@ -72,12 +75,20 @@ def format_conversations(turns: DataFrame, trained: str = ASSISTANT) -> DataFram
 
 
 def example_texts(formatted: DataFrame) -> DataFrame:
-    """One row per example: ``conv_id, turn_no, prompt, reply``, still escaped as in ``formatted``."""
-    return formatted.select("conv_id", "formatted", F.inline("examples")).select(
+    """One row per example: ``conv_id, turn_no, prompt, reply, rest``, still escaped as in ``formatted``.
+
+    ``rest`` is what follows the last reply of the conversation, the same in each of its
+    rows. A conversation without an example has one row, of its ``rest`` alone.
+    """
+    last = F.try_element_at("examples", F.lit(-1))
+    said = F.coalesce(last["context_chars"] + last["reply_chars"], F.lit(0))
+    rows = formatted.select("conv_id", "formatted", (said + 1).cast("int").alias("end"), F.inline_outer("examples"))
+    return rows.select(
         "conv_id",
         "turn_no",
         F.substr("formatted", F.lit(1), F.col("context_chars").cast("int")).alias("prompt"),
         F.substr("formatted", (F.col("context_chars") + 1).cast("int"), F.col("reply_chars").cast("int")).alias("reply"),
+        F.substr("formatted", F.col("end")).alias("rest"),
     )
 
 
@@ -95,27 +106,28 @@ def read_turns(formatted: Column) -> Column:
     return F.transform(F.slice(pieces, 1, F.size(pieces) - 1), turn)
 
 
-def read_replies(formatted: Column, examples: Column) -> Column:
-    """Array of the unescaped texts under the loss mask, in order."""
-    return F.transform(
-        examples,
-        lambda e: unescape(F.substr(formatted, (e["context_chars"] + 1).cast("int"), e["reply_chars"].cast("int"))),
-    )
+def conversation_digests(examples: DataFrame) -> DataFrame:
+    """Counts and digests of what can be read back from the rows of ``example_texts``.
 
-
-def conversation_digests(formatted: DataFrame) -> DataFrame:
-    """Counts and digests of what can be read back from ``format_conversations``."""
-    turns, replies = F.col("turns"), F.array_join("replies", "")
-    said = F.array_join(F.transform(turns, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    read = formatted.withColumns(
-        {"turns": read_turns(F.col("formatted")), "replies": read_replies(F.col("formatted"), F.col("examples"))}
+    The last example and the rest give the conversation, the replies of all what is
+    trained. The rows of a conversation are still where it was written, so nothing moves.
+    """
+    reply = F.when(F.col("turn_no").isNotNull(), F.struct("turn_no", unescape(F.col("reply")).alias("reply")))
+    read = examples.groupBy("conv_id").agg(
+        F.max(F.struct("turn_no", "prompt", "reply")).alias("last"),
+        F.first("rest").alias("rest"),
+        F.sort_array(F.collect_list(reply)).alias("replies"),
     )
+    whole = F.concat(F.coalesce("last.prompt", F.lit("")), F.coalesce("last.reply", F.lit("")), "rest")
+    read = read.withColumn("formatted", whole)
+    read = read.withColumns({"turns": read_turns(F.col("formatted")), "trained": F.array_join("replies.reply", "")})
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return read.select(
         "conv_id",
         F.size("turns").cast("bigint").alias("n_turns"),
         F.sha2(said.cast(T.BinaryType()), 256).alias("turns_sha256"),
-        F.length(replies).cast("bigint").alias("loss_chars"),
-        F.sha2(replies.cast(T.BinaryType()), 256).alias("loss_sha256"),
+        F.length("trained").cast("bigint").alias("loss_chars"),
+        F.sha2(F.col("trained").cast(T.BinaryType()), 256).alias("loss_sha256"),
         F.length("formatted").cast("bigint").alias("formatted_chars"),
-        F.size("examples").cast("bigint").alias("n_examples"),
+        F.size("replies").cast("bigint").alias("n_examples"),
     )

@@ -1,5 +1,7 @@
 """Operators on small fixtures, by their general interfaces."""
 
+import hashlib
+
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -112,9 +114,29 @@ def test_prefixes_and_replies(spark):
     whole = made.first().formatted
     assert all(whole.startswith(e.prompt + e.reply) for e in examples)
     assert examples[1].prompt.count("</turn>\n") == 4 and examples[1].reply == "second"
-    turns, replies = made.select(chat.read_turns(F.col("formatted")), chat.read_replies(F.col("formatted"), F.col("examples"))).first()
-    assert [(t.role, t.text) for t in turns] == [(r[2], r[3]) for r in rows]
-    assert replies == ["first: ###", "second"]
+    assert all(e.rest == "</turn>\n" for e in examples)
+    assert [(t.role, t.text) for t in made.select(chat.read_turns(F.col("formatted"))).first()[0]] == [(r[2], r[3]) for r in rows]
+
+
+def test_digests_come_from_the_examples(spark):
+    """Whatever is changed in an example row changes what is read back of its conversation."""
+    rows = [(1, 0, "user", "q"), (1, 1, "assistant", "\\\\h ###"), (1, 2, "user", "more"), (1, 3, "assistant", "é</turn>"), (1, 4, "user", "bye"),
+            (2, 0, "user", "alone"), (None, 0, "assistant", None)]
+    examples = chat.example_texts(chat.format_conversations(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")))
+    sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    got = {r.conv_id: r for r in chat.conversation_digests(examples).collect()}
+    said = lambda i: "".join(f"{role}\n{text or ''}\n" for c, _, role, text in rows if c == i)
+    assert {i: r.turns_sha256 for i, r in got.items()} == {i: sha(said(i)) for i in (1, 2, None)}
+    assert {i: r.n_examples for i, r in got.items()} == {1: 2, 2: 0, None: 1}
+    assert (got[1].loss_chars, got[1].loss_sha256) == (len("\\\\h ###é</turn>"), sha("\\\\h ###é</turn>"))
+    assert got[2].loss_sha256 == got[None].loss_sha256 == sha("")
+    first = F.col("turn_no") == 1
+    other = chat.conversation_digests(examples.withColumn("reply", F.when(first, "x").otherwise(F.col("reply")))).where("conv_id = 1").first()
+    assert (other.loss_sha256, other.turns_sha256) == (sha("xé</turn>"), got[1].turns_sha256)
+    fewer = chat.conversation_digests(examples.where("not turn_no <=> 3")).where("conv_id = 1").first()
+    assert fewer.n_turns == 3 and fewer.n_examples == 1
+    plan = chat.conversation_digests(examples)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
 
 
 def _near(spark, texts):
