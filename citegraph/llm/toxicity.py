@@ -2,21 +2,24 @@
 
 Two models, one of toxic and one of ordinary training texts, give each letter a
 probability after the four letters before it. Their highest order counts by class; where
-an expression is rare in a class, both back off to the same lower order, a Kneser-Ney
-continuation distribution of the counts of both classes together. What a text gains is
-the difference of its two log-likelihoods, length-normalised over the whole text and over
-its two and three most telling words; a logistic function of the three, fitted on
-training rows that the counts leave out, turns them into a score.
-
-Counts cover every labelled training row. They are combined per batch, then summed by a
-shuffle on the letter sequence, and smoothed by joins and sums on sequences and contexts.
+an expression is rare in a class, both back off to the same lower orders, Kneser-Ney
+continuation distributions of the counts of both classes together, after three letters,
+two, one and none. What a text gains is the difference of its two log-likelihoods,
+length-normalised over the whole text and over its two and three most telling words; a
+logistic function of the three turns them into a score. It is fitted on one training row
+in ``HELD_FOR_FIT`` with a model of the others, since gains are larger on counted rows.
+
+The model that scores counts every labelled training row. Counts are combined per batch,
+then summed by a shuffle on the letter sequence, and smoothed by joins and sums on
+sequences and contexts, one order after the other.
 The model is kept whole. While it is counted to have at most ``BROADCAST_KEYS`` keys, scoring
 broadcasts it, sorted; a larger one stays a table: texts are dealt into blocks of
 ``BLOCK`` rows, the distinct sequences of a block are joined with the model and the gains
 come back to their block.
 
-Letters are lower-cased and kept as ten bits of their code point; all else separates
-words.
+Letters are lower-cased and kept as ``BITS`` bits: the code point of those below 4096, which
+take in the alphabets of Europe and most of Asia, and its remainder of the others; all else
+separates words.
 
 Defined results: null and empty texts have gains of 0 and get the score of that; rows
 without a label or with a null one are not learnt from; several labels of one id count as
@@ -27,6 +30,7 @@ classes every score is 0; tables may be empty; extra columns are left as they ar
 from __future__ import annotations
 
 import functools
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -36,13 +40,13 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from citegraph.llm.common import materialize
 
-ORDER, BITS = 5, 10
+ORDER, BITS = 5, 12
 DISCOUNT = 0.75
 #: Share of the lowest order spread evenly over the letters of an alphabet of about this size.
 ALPHABET = 64
 #: Most sequences and contexts, counted together, that scoring broadcasts (16 bytes each), and rows of a block otherwise.
 BROADCAST_KEYS, BLOCK = 4_000_000, 2048
-#: One of this many training rows fits the logistic function and is not counted.
+#: One of this many training rows fits the logistic function, with a model of the other rows.
 HELD_FOR_FIT = 5
 FIT_ROUNDS, RIDGE = 12, 1e-2
 GAINS = ("whole", "two_words", "three_words")
@@ -56,7 +60,8 @@ def _letters() -> np.ndarray:
 def sequences(text: str) -> np.ndarray:
     """One packed sequence of ``ORDER`` characters per letter and word end; 0 codes a separator."""
     points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    codes = np.where(_letters()[points], points & ((1 << BITS) - 1), 0).astype(np.int64)
+    kept = np.where(points < 1 << BITS, points, points % ((1 << BITS) - 1) + 1)
+    codes = np.where(_letters()[points], kept, 0).astype(np.int64)
     if len(codes):
         once = np.empty(len(codes), np.bool_)
         once[0] = codes[0] != 0
@@ -93,18 +98,41 @@ def count_sequences(rows: DataFrame, text: str = "text", toxic: str = "toxic") -
     return counted.groupBy("sequence").agg(F.sum("n_toxic").alias("n_toxic"), F.sum("n_ordinary").alias("n_ordinary"))
 
 
+def shared_orders(counts: DataFrame) -> DataFrame:
+    """``key, shared``: of every sequence of ``ORDER - 1`` letters in ``counts``, its chance in both classes together.
+
+    A sequence of k letters counts as often as different letters come before it, that is as
+    there are sequences of k + 1 letters that end in it. What its discounts leave is spread by
+    the chance of its last k - 1 letters, and at last evenly.
+    """
+    d, orders, longer = DISCOUNT, [], counts.select(F.col("sequence").alias("key"))
+    for k in range(ORDER - 1, 0, -1):
+        longer = materialize(longer.groupBy(F.col("key").bitwiseAND((1 << (BITS * k)) - 1).alias("key")).agg(F.count("*").alias("starts")))
+        orders.append((k, longer))
+    chances = None
+    for k, starts in reversed(orders):
+        rows = starts.withColumn("context", F.shiftright("key", BITS))
+        sums = rows.groupBy("context").agg(F.sum("starts").alias("all"), F.count("*").alias("kinds"))
+        rows = rows.join(sums, "context")
+        if chances is None:
+            rows = rows.withColumn("lower", F.lit(1 / ALPHABET))
+        else:
+            ends = F.col("key").bitwiseAND((1 << (BITS * (k - 1))) - 1)
+            rows = rows.withColumn("end", ends).join(chances.select(F.col("key").alias("end"), F.col("shared").alias("lower")), "end")
+        chance = (F.col("starts") - d + d * F.col("kinds") * F.col("lower")) / F.col("all")
+        chances = materialize(rows.select("key", chance.alias("shared")))
+    return chances
+
+
 def smooth(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Per sequence and per context: ``key`` and ``gain`` (log of the ratio of both models).
 
-    The gain of a context is that of any letter never seen after it.
+    The gain of a context is that of any letter never seen after it: its chance in the shared
+    orders is the same in both models.
     """
     d, low = DISCOUNT, (1 << (BITS * (ORDER - 1))) - 1
     counts = counts.withColumns({"context": F.shiftright("sequence", BITS), "shorter": F.col("sequence").bitwiseAND(low)})
-    ends = counts.groupBy("shorter").agg(F.count("*").alias("starts"))
-    ends = ends.withColumn("middle", F.shiftright("shorter", BITS))
-    middles = ends.groupBy("middle").agg(F.sum("starts").alias("all_starts"), F.count("*").alias("kinds"))
-    shared = (F.col("starts") - d + d * F.col("kinds") / ALPHABET) / F.col("all_starts")
-    shared = ends.join(middles, "middle").select("shorter", shared.alias("shared"))
+    shared = shared_orders(counts).withColumnRenamed("key", "shorter")
     sums = [F.sum(f"n_{c}").alias(f"all_{c}") for c in ("toxic", "ordinary")]
     sums += [F.count_if(F.col(f"n_{c}") > 0).alias(f"kinds_{c}") for c in ("toxic", "ordinary")]
     weight = lambda c: F.when(F.col(f"all_{c}") > 0, d * F.col(f"kinds_{c}") / F.col(f"all_{c}")).otherwise(1.0)
@@ -206,6 +234,24 @@ def joined_gains(docs: DataFrame, text: str, by_sequence: DataFrame, by_context:
     return docs.groupBy("_block").cogroup(known.groupBy("_block")).applyInArrow(score, kind)
 
 
+def gains_by(counts: DataFrame, text: str) -> tuple[Callable[[DataFrame], DataFrame], Callable[[], None]]:
+    """What adds ``GAINS`` by the model of ``counts`` to rows with texts, and what frees the model's broadcast tables."""
+    model = [materialize(g) for g in smooth(counts)]
+    if sum(g.count() for g in model) > BROADCAST_KEYS:
+        return lambda df: joined_gains(df, text, *model), lambda: None
+    tables = [counts.sparkSession.sparkContext.broadcast(sorted_gains(g)) for g in model]
+
+    def gained(df: DataFrame) -> DataFrame:
+        kept = (df[c] for c in df.columns if c not in GAINS)
+        return df.withColumn("_gains", text_gains(F.col(text), *tables)).select(*kept, "_gains.*")
+
+    def done() -> None:
+        for t in tables:
+            t.unpersist()
+
+    return gained, done
+
+
 def logit(weights: np.ndarray) -> Column:
     out = F.lit(float(weights[-1]))
     for g, w in zip(GAINS, weights, strict=False):
@@ -240,14 +286,11 @@ def toxicity_scores(docs: DataFrame, training: DataFrame, text: str = "text", to
     classes = training.agg(F.min(toxic).alias("least"), F.max(toxic).alias("most")).first()
     if (classes.least, classes.most) != (0, 1):
         return docs.withColumn("score", F.lit(0.0))
-    counts = materialize(count_sequences(training.where(~fitted), text, toxic))
-    model = [materialize(g) for g in smooth(counts)]
-    if sum(g.count() for g in model) <= BROADCAST_KEYS:
-        tables = [docs.sparkSession.sparkContext.broadcast(sorted_gains(g)) for g in model]
-        gained = lambda df: df.withColumn("_gains", text_gains(F.col(text), *tables)).select(
-            *(df[c] for c in df.columns if c not in GAINS), "_gains.*"
-        )
-    else:
-        gained = lambda df: joined_gains(df, text, *model)
+    others = materialize(count_sequences(training.where(~fitted), text, toxic))
+    both = others.unionByName(count_sequences(training.where(fitted), text, toxic))
+    every = both.groupBy("sequence").agg(*(F.sum(c).alias(c) for c in ("n_toxic", "n_ordinary")))
+    gained, done = gains_by(others, text)
     weights = fit_logistic(materialize(gained(training.where(fitted)).select(toxic, *GAINS)), toxic)
+    done()
+    gained, _ = gains_by(materialize(every), text)
     return gained(docs).withColumn("score", 1 / (1 + F.exp(-logit(weights)))).drop(*GAINS)

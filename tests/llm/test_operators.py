@@ -265,9 +265,64 @@ def test_related_tails_share_windows():
 
 def test_sequences_of_letters():
     codes = toxicity.sequences("Ab, c")
-    text = ["".join(chr(k >> 10 * j & 1023) if k >> 10 * j & 1023 else "_" for j in range(4, -1, -1)) for k in codes.tolist()]
+    bits, mask = toxicity.BITS, (1 << toxicity.BITS) - 1
+    text = ["".join(chr(k >> bits * j & mask) if k >> bits * j & mask else "_" for j in range(4, -1, -1)) for k in codes.tolist()]
     assert text == ["____a", "___ab", "__ab_", "_ab_c", "ab_c_"]
     assert len(toxicity.sequences("")) == len(toxicity.sequences("1, 2!")) == 0
+    # letters of other scripts are neither separators nor letters of this one
+    assert len({tuple(toxicity.sequences(c).tolist()) for c in ("a", "\u0461", "\u0400", "\u0800", "\u4e00")}) == 5
+    assert len(toxicity.sequences("\u4000\u0400\U00020000")) == 4
+
+
+def test_smoothing_equals_a_plain_kneser_ney(spark):
+    from collections import Counter
+    from math import log
+
+    d, k = toxicity.DISCOUNT, toxicity.ORDER
+    texts = {1: ["you rotten old toad", "rotten eggs", "a toad you are"], 0: ["the old road is long", "you are on the road", "", "eggs and toast"]}
+    letters = {c: [] for c in texts}
+    for c, said in texts.items():
+        for t in said:
+            padded = "_" * (k - 1) + t.replace(" ", "_") + "_"
+            letters[c] += [padded[i : i + k] for i in range(len(padded) - k + 1)] if t else []
+    count = {c: Counter(found) for c, found in letters.items()}
+    orders, longer = {}, set(letters[0]) | set(letters[1])
+    for n in range(k - 1, 0, -1):
+        orders[n] = Counter(g[1:] for g in longer)
+        longer = set(orders[n])
+
+    def shared(g):
+        if not g:
+            return 1 / toxicity.ALPHABET
+        beside = [n for h, n in orders[len(g)].items() if h[:-1] == g[:-1]]
+        return (max(orders[len(g)][g] - d, 0) + d * len(beside) * shared(g[1:])) / sum(beside)
+
+    def chance(c, g):
+        beside = [n for h, n in count[c].items() if h[:-1] == g[:-1]]
+        return (max(count[c][g] - d, 0) + d * len(beside) * shared(g[1:])) / sum(beside) if beside else shared(g[1:])
+
+    rows = [(t, c) for c, said in texts.items() for t in said]
+    counts = toxicity.count_sequences(spark.createDataFrame(rows, "text string, toxic int"))
+    packed = lambda g: sum((0 if c == "_" else ord(c)) << toxicity.BITS * i for i, c in enumerate(reversed(g)))
+    counted = {r.sequence: (r.n_toxic, r.n_ordinary) for r in counts.collect()}
+    seen = set(count[0]) | set(count[1])
+    assert counted == {packed(g): (count[1][g], count[0][g]) for g in seen}
+    by_sequence, by_context = ({r.key: r.gain for r in part.collect()} for part in toxicity.smooth(counts))
+    assert by_sequence == pytest.approx({packed(g): log(chance(1, g) / chance(0, g)) for g in seen})
+    # all letters after a context have a chance of one together, but for those never seen at all
+    back = lambda c, x: d * sum(h[:-1] == x for h in count[c]) / n if (n := sum(m for h, m in count[c].items() if h[:-1] == x)) else 1.0
+    assert by_context == pytest.approx({packed(x): log(back(1, x) / back(0, x)) for x in {g[:-1] for g in seen}})
+
+
+def test_the_scoring_model_counts_every_labelled_row(spark, monkeypatch):
+    rows = [(i, f"the day {i} was warm", 0) for i in range(40)] + [(100 + i, f"you rotten scoundrel {i}", 1) for i in range(40)]
+    training = spark.createDataFrame([*rows, (999, "unlabelled words", None)], "row bigint, text string, toxic int")
+    kept, smooth = [], toxicity.smooth
+    monkeypatch.setattr(toxicity, "smooth", lambda counts: kept.append(counts) or smooth(counts))
+    toxicity.toxicity_scores(training.select("text"), training).collect()
+    total = lambda counts: tuple(counts.agg(F.sum("n_toxic"), F.sum("n_ordinary")).first())
+    every = total(toxicity.count_sequences(training.where("toxic is not null")))
+    assert total(kept[-1]) == every and all(a < b for a, b in zip(total(kept[0]), every, strict=True))
 
 
 def test_toxic_words_raise_scores(spark):
