@@ -22,7 +22,7 @@ from citegraph.operators.louvain import louvain, louvain_one_sweep
 from citegraph.operators.normalize import normalize_works
 from citegraph.plans import workflows
 from citegraph.plans.materialize import checkpoint_dir, materialize
-from citegraph.sources import graph_store
+from citegraph.sources import adjacency, graph_store, record_store
 from citegraph.sources import works as work_files
 from citegraph.sources.tables import lines_per_block, works_from_tables
 
@@ -241,6 +241,50 @@ def lookup_by_ids(spark, folder):
     )
 
 
+# the same through a store of records
+
+
+@_once_per_session
+def stored(spark, folder) -> record_store.RecordStore:
+    return record_store.save_records(records(spark, folder), f"{checkpoint_dir(spark)}/records-{uuid.uuid4().hex}", 32)
+
+
+def stored_keyword_search(spark, folder):
+    return stored(spark, folder).keyword_search(KEYWORDS, 100, "R1").select(
+        F.col("paperId").alias("paper_id"), "title", "cited_by_count", "record_seq"
+    )
+
+
+def stored_keyword_search_all(spark, folder):
+    return stored(spark, folder).keyword_search(["widget"]).select(
+        F.col("paperId").alias("paper_id"), "title", "cited_by_count", "record_seq"
+    )
+
+
+def stored_publication_search(spark, folder):
+    return stored(spark, folder).publication_search(VENUE, YEAR, 1000, "R1").select(
+        F.col("paperId").alias("paper_id"), "venue", "year"
+    )
+
+
+def stored_publication_search_title(spark, folder):
+    return stored(spark, folder).publication_search("red gear", YEAR, match="title").select(
+        F.col("paperId").alias("paper_id"), "venue", "year"
+    )
+
+
+def stored_expand_2hop(spark, folder):
+    return expand.expand_references(stored(spark, folder), search.seed_ids(spark, SEEDS), 2, None).select("id", "hop")
+
+
+def stored_id_graph_capped(spark, folder):
+    return _edges(workflows.id_graph(stored(spark, folder), SEEDS, 2, 5))
+
+
+def stored_keyword_graph_central(spark, folder):
+    return _edges(workflows.keyword_graph(stored(spark, folder), KEYWORDS, 1000, central=CENTRE), "edge_type")
+
+
 # edges and graphs
 
 
@@ -495,6 +539,21 @@ def influence_rank_normalized(spark, folder):
     return normalized_ranks(spark, folder).select("id", _log("rank", "log_rank"), "title")
 
 
+@_once_per_session
+def _adjacency(spark, folder) -> adjacency.Adjacency:
+    return adjacency.save_adjacency(weighted(spark, folder), f"{checkpoint_dir(spark)}/adjacency-{uuid.uuid4().hex}")
+
+
+def stored_weighted_rank(spark, folder):
+    ranks = rank.influence_rank(weighted(spark, folder), adjacency=_adjacency(spark, folder))
+    return ranks.select("id", _log("rank", "log_rank"))
+
+
+def stored_weighted_rank_normalized(spark, folder):
+    ranks = rank.influence_rank(weighted(spark, folder), mode="normalized", adjacency=_adjacency(spark, folder))
+    return ranks.select("id", _log("rank", "log_rank"))
+
+
 def top_papers(spark, folder):
     return rank.top_papers(raw_ranks(spark, folder), 10).select("id", "title", _log("rank", "log_rank"))
 
@@ -537,6 +596,29 @@ def louvain_full(spark, folder):
     return louvain_communities(spark, folder).select("id", "community", "title")
 
 
+def louvain_properties(spark, folder):
+    """What must hold of the communities, whichever way ties and turns went: every paper once, numbers
+    from 0 by falling size and then smallest id, and more modular than label propagation and than
+    papers alone."""
+    found, g = louvain_communities(spark, folder), graph(spark, folder)
+    sizes = materialize(com.community_sizes(found))
+    after = sizes.select((F.col("community") - 1).alias("community"), F.col("size").alias("size_after"), F.col("first_id").alias("id_after"))
+    falls = (F.col("size") > F.col("size_after")) | ((F.col("size") == F.col("size_after")) & (F.col("first_id") < F.col("id_after")))
+    # only the last one has none after it
+    steps = sizes.join(after, "community", "left").agg(
+        F.bool_and(F.coalesce(falls, F.lit(True))) & (F.count_if(F.col("size_after").isNull()) == 1) & (F.min("community") == 0)
+    )
+    ordered = steps.scalar()
+    q = com.modularity(g.edges, found).scalar()
+    labels = com.modularity(g.edges, propagated(spark, folder)).scalar()
+    alone = com.modularity(g.edges, g.vertices.select("id", F.col("id").alias("community"))).scalar()
+    return found.agg(
+        F.count("id").alias("papers"),
+        F.count_distinct("id").alias("ids"),
+        F.sum(F.length("id")).alias("id_letters"),
+    ).select("papers", "ids", "id_letters", ordered.alias("canonical"), ((q > labels) & (q > alone)).alias("more_modular"))
+
+
 def louvain_stats(spark, folder):
     found = louvain_communities(spark, folder)
     return com.community_stats(graph(spark, folder).edges, found).select("n_communities", F.round("q", 6).alias("q"))
@@ -658,6 +740,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "publication_search": publication_search,
     "publication_search_title": publication_search_title,
     "lookup_by_ids": lookup_by_ids,
+    "stored_keyword_search": stored_keyword_search,
+    "stored_keyword_search_all": stored_keyword_search_all,
+    "stored_publication_search": stored_publication_search,
+    "stored_publication_search_title": stored_publication_search_title,
+    "stored_expand_2hop": stored_expand_2hop,
+    "stored_id_graph_capped": stored_id_graph_capped,
+    "stored_keyword_graph_central": stored_keyword_graph_central,
     "citation_edges": citation_edges,
     "star_edges": star_edges,
     "star_fallback_edges": star_fallback_edges,
@@ -699,6 +788,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "weighted_render_edges": weighted_render_edges,
     "influence_rank": influence_rank,
     "influence_rank_normalized": influence_rank_normalized,
+    "stored_weighted_rank": stored_weighted_rank,
+    "stored_weighted_rank_normalized": stored_weighted_rank_normalized,
     "top_papers": top_papers,
     "author_influence": author_influence,
     "top_authors": top_authors,
@@ -707,6 +798,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "louvain_one_sweep": louvain_sweep,
     "louvain": louvain_full,
     "louvain_stats": louvain_stats,
+    "louvain_properties": louvain_properties,
     "label_propagation": label_propagation,
     "canonical_communities": canonical_communities,
     "community_stats": community_stats,

@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 from citegraph.operators.normalize import RECORD_ORDER
 from citegraph.operators.search import lookup_by_ids
 from citegraph.plans.materialize import materialize
+from citegraph.sources.record_store import RecordStore
 
 
 def expand_references(
-    papers: DataFrame, seeds: DataFrame, max_hops: int = 1, per_hop_limit: int | None = None
+    papers: DataFrame | RecordStore, seeds: DataFrame, max_hops: int = 1, per_hop_limit: int | None = None
 ) -> DataFrame:
     """``id, record_seq, hop`` of the seeds and of what they cite within
     ``max_hops`` hops; the record is the one that a lookup of the id returns.
@@ -26,12 +27,15 @@ def expand_references(
     first occurrence is a plain minimum and the cut a plain top-k; papers found
     at one hop have paths of the same length. Candidates that were cut or not
     found stay unknown and may come back at a later hop.
+
+    Of a table every hop reads the ids of all records, of a store the buckets of
+    its candidates.
     """
-    narrow = papers.select("paperId", "referenced_works", RECORD_ORDER)
 
     def look_up(wanted: DataFrame) -> DataFrame:
+        near = papers.near(wanted) if isinstance(papers, RecordStore) else papers
         return materialize(
-            lookup_by_ids(narrow, wanted).join(wanted.withColumnRenamed("id", "paperId"), "paperId")
+            lookup_by_ids(near.select("paperId", "referenced_works", RECORD_ORDER), wanted).join(wanted.withColumnRenamed("id", "paperId"), "paperId")
         )
 
     frontier = look_up(seeds.select("id", F.array(F.col("ord").cast("int")).alias("path")))

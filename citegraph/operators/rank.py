@@ -10,6 +10,7 @@ from citegraph.operators.graph import CitationGraph
 from citegraph.plans.keys import hashed_index
 from citegraph.plans.layout import MIN_HOT_EDGES, place_by_source
 from citegraph.plans.materialize import broadcast_if_small, checkpointed, materialize
+from citegraph.sources.adjacency import Adjacency
 
 #: Rounds between two written states. A round refers to its predecessor once, so
 #: plans grow linearly; short ones plan faster than the extra small write costs.
@@ -25,6 +26,7 @@ def influence_rank(
     mode: str = "raw",
     rounds_per_job: int = ROUNDS_PER_JOB,
     min_hot_edges: int = MIN_HOT_EDGES,
+    adjacency: Adjacency | None = None,
 ) -> DataFrame:
     """``id, rank`` and the title columns of every vertex.
 
@@ -36,16 +38,19 @@ def influence_rank(
 
     Between rounds only the sums are kept: a vertex without a sum has the reset
     value, so no round needs the vertex table and each is one join in place and
-    one combined shuffle of the messages.
+    one combined shuffle of the messages. With the ``adjacency`` of the graph
+    (``sources/adjacency.py``) its edges are read where they lie and not moved at all.
     """
     if mode not in ("raw", "normalized"):
         raise ValueError(f"unknown mode {mode!r}")
-    index = hashed_index(graph)
+    if adjacency is not None and graph.cliques is not None:
+        raise ValueError("an adjacency holds edges, not cliques")
+    index = adjacency or hashed_index(graph)
     edges = index.edges
     members = None
     if graph.cliques is not None:
         members = materialize(graph.cliques.join(index.vertices, "id").select("clique", F.col("key").alias("dst"), "weight"))
-    if mode == "normalized":
+    if mode == "normalized" and adjacency is None:
         out_weight = edges.groupBy("src").agg(F.sum("weight").alias("_out"))
         if members is not None:
             sized = members.join(broadcast_if_small(clique_sizes(members)), "clique")
@@ -65,7 +70,10 @@ def influence_rank(
             )
 
     rank = F.lit(reset) + F.lit(1.0 - reset) * F.coalesce(F.col("_sum"), F.lit(0.0))
-    layout = place_by_source(edges, min_hot_edges=min_hot_edges)
+    if adjacency is not None:
+        layout = adjacency.layout("share" if mode == "normalized" else "weight")
+    else:
+        layout = place_by_source(edges, min_hot_edges=min_hot_edges)
     sums = None
     for done in range(rounds):
         if sums is None:

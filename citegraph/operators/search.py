@@ -40,7 +40,7 @@ def in_institution(institution: str | None) -> Column:
     return F.coalesce(F.array_contains("institutions", institution), F.lit(False))
 
 
-def _order() -> list[Column]:
+def result_order() -> list[Column]:
     return [direction(column) for direction, column in _RESULT_ORDER]
 
 
@@ -48,9 +48,15 @@ def _first_matches(
     papers: DataFrame, match: Column, limit: int | None, offset: int = 0, after: str | None = None
 ) -> DataFrame:
     match = match & valid_id("paperId")
+    hits = first_hits(papers.filter(match), limit, offset, after)
+    # The filter is repeated, so that it reaches the scan of the wide records too.
+    return papers.filter(match).join(hits.drop("_cited"), ["paperId", RECORD_ORDER], "left_semi").select(*papers.columns)
+
+
+def first_hits(hits: DataFrame, limit: int | None, offset: int = 0, after: str | None = None) -> DataFrame:
+    """``paperId, record_seq, _cited`` of the first of the ``hits`` of every id, behind the cursor and the offset."""
     hits = (
-        papers.filter(match)
-        .groupBy("paperId")
+        hits.groupBy("paperId")
         .agg(
             F.min(RECORD_ORDER).alias(RECORD_ORDER),
             F.min_by("cited_by_count", RECORD_ORDER).alias("_cited"),
@@ -65,8 +71,7 @@ def _first_matches(
     elif offset:
         # an offset alone would bring all results to one task
         hits = numbered_rows(hits, order, "_at").where(F.col("_at") >= offset).drop("_at")
-    # The filter is repeated, so that it reaches the scan of the wide records too.
-    return papers.filter(match).join(hits.drop("_cited"), ["paperId", RECORD_ORDER], "left_semi").select(*papers.columns)
+    return hits
 
 
 def keyword_search(
@@ -83,7 +88,7 @@ def keyword_search(
     most ``limit`` returned.
     """
     match = contains_all(F.col("title"), parse_keywords(keywords)) & in_institution(institution)
-    return _first_matches(papers, match, limit, offset, after).orderBy(*_order())
+    return _first_matches(papers, match, limit, offset, after).orderBy(*result_order())
 
 
 def next_cursor(page: DataFrame) -> str | None:
@@ -137,7 +142,7 @@ def publication_search(
     else:
         raise ValueError(f"unknown match {match!r}")
     found = found & (F.col("year") == year) & in_institution(institution)
-    return _first_matches(papers, found, limit, offset).orderBy(*_order())
+    return _first_matches(papers, found, limit, offset).orderBy(*result_order())
 
 
 def bare_ids(ids: list[str]) -> list[str]:
@@ -169,7 +174,7 @@ def lookup_by_ids(papers: DataFrame, ids: DataFrame) -> DataFrame:
 def preview(results: DataFrame, shown: int = 5) -> DataFrame:
     """The first hits, ``pos, title, year, paperId``, and how many more there are."""
     total = results.agg(F.count(F.lit(1)).alias("n")).scalar()
-    top = results.select("paperId", "title", "year", "cited_by_count").orderBy(*_order()).limit(shown)
+    top = results.select("paperId", "title", "year", "cited_by_count").orderBy(*result_order()).limit(shown)
     hits = top.agg(
         F.array_sort(
             F.collect_list(F.struct((-F.col("cited_by_count")).alias("o"), "paperId", "title", "year"))

@@ -85,22 +85,23 @@ def place_by_source(
         placed = edges.repartition(n, source).sortWithinPartitions(source)
         return SourceLayout(_kept(placed), source, n, None)
     # Written: every round joins it, and none should count the edges again.
-    hot = materialize(
-        degrees.filter(F.col("_edges") > limit).select(
-            source, F.ceil(F.col("_edges") / limit).cast("int").alias("_salts")
-        )
-    )
-    spread = F.pmod(F.xxhash64(*[c for c in edges.columns if c != source]), F.coalesce("_salts", F.lit(1)))
-    placed = (
-        edges.join(F.broadcast(hot), source, "left")
-        .withColumn("_salt", spread.cast("int"))
-        .drop("_salts")
-        .repartition(n, source, "_salt")
-        .sortWithinPartitions(source, "_salt")
-    )
+    hot = materialize(hot_sources(degrees, source, limit))
+    placed = salted(edges, source, hot).repartition(n, source, "_salt").sortWithinPartitions(source, "_salt")
     return SourceLayout(_kept(placed), source, n, hot)
 
 
+def hot_sources(degrees: DataFrame, source: str, limit: int) -> DataFrame:
+    """``source, _salts`` of the sources with more than ``limit`` edges (``_edges``)."""
+    salts = F.ceil(F.col("_edges") / limit).cast("int").alias("_salts")
+    return degrees.filter(F.col("_edges") > limit).select(source, salts)
+
+
+def salted(edges: DataFrame, source: str, hot: DataFrame) -> DataFrame:
+    """``edges`` with ``_salt``, which spreads those of hot sources."""
+    spread = F.pmod(F.xxhash64(*[c for c in edges.columns if c != source]), F.coalesce("_salts", F.lit(1)))
+    return edges.join(F.broadcast(hot), source, "left").withColumn("_salt", spread.cast("int")).drop("_salts")
+
+
 def _kept(placed: DataFrame) -> DataFrame:
     """Fill the cache now: its partitioning is known only once it is filled. A lost
     part is computed again from the edges."""

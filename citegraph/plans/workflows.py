@@ -1,6 +1,7 @@
 """The three ways to build a graph from normalised records.
 
-``records`` is the result of ``normalize_works``: possibly several records per id.
+``records`` is the result of ``normalize_works``, possibly several records per id, or a
+store of it (``sources/record_store.py``).
 With an ``archive`` a builder also keeps the raw works that its search found.
 """
 
@@ -24,6 +25,7 @@ from citegraph.operators.graph import CitationGraph
 from citegraph.operators.normalize import RECORD_ORDER, to_vertices
 from citegraph.operators.search import bare_ids, keyword_search, lookup_by_ids, publication_search, seed_ids
 from citegraph.plans.materialize import materialize
+from citegraph.sources.record_store import RecordStore
 from citegraph.sources.works import archive_raw
 
 
@@ -43,6 +45,10 @@ class Archive:
         return archive_raw(works, self.folder, query_name, parameters)
 
 
+def _looked_up(records: DataFrame | RecordStore, ids: DataFrame) -> DataFrame:
+    return records.lookup_by_ids(ids) if isinstance(records, RecordStore) else lookup_by_ids(records, ids)
+
+
 def whole_graph(records: DataFrame) -> CitationGraph:
     """Graph of all papers, last record of an id wins. A whole corpus may simply
     have no citations, so there is no fallback."""
@@ -56,7 +62,7 @@ def _citations_or_star(vertices: DataFrame) -> DataFrame:
 
 
 def keyword_graph(
-    records: DataFrame,
+    records: DataFrame | RecordStore,
     keywords: str | list[str],
     limit: int | None = None,
     central: str | None = None,
@@ -71,8 +77,9 @@ def keyword_graph(
     set or, if there are none, a star around the smallest id. A search without
     hits gives an empty graph.
     """
-    spark = records.sparkSession
-    found = materialize(keyword_search(records, keywords, limit, institution))
+    stored = isinstance(records, RecordStore)
+    found = records.keyword_search(keywords, limit, institution) if stored else keyword_search(records, keywords, limit, institution)
+    found = materialize(found)
     if archive is not None:
         words = keywords if isinstance(keywords, str) else ", ".join(keywords)
         archive.keep(found, f"keyword_{words}", {"query": words, "limit": limit})
@@ -81,7 +88,7 @@ def keyword_graph(
         bare = bare_ids([central])
         centre = bare[0] if bare else None
     if centre is not None and found.filter(F.col("paperId") == centre).isEmpty():
-        looked_up = materialize(lookup_by_ids(records, seed_ids(spark, [centre])))
+        looked_up = materialize(_looked_up(records, seed_ids(found.sparkSession, [centre])))
         if archive is not None:
             archive.keep(looked_up, "keyword_central_paper", {"ids": centre})
         found = materialize(found.unionByName(looked_up))
@@ -93,7 +100,7 @@ def keyword_graph(
 
 
 def id_graph(
-    records: DataFrame,
+    records: DataFrame | RecordStore,
     seeds: list[str],
     max_hops: int = 1,
     per_hop_limit: int | None = None,
@@ -102,18 +109,21 @@ def id_graph(
 ) -> CitationGraph:
     """Graph of the seeds and of what they cite within ``max_hops`` hops; a star
     around the smallest id if nothing in the set cites anything in it."""
-    reached = expand_references(records, seed_ids(records.sparkSession, seeds), max_hops, per_hop_limit)
+    stored = isinstance(records, RecordStore)
+    spark = records.records.sparkSession if stored else records.sparkSession
+    reached = expand_references(records, seed_ids(spark, seeds), max_hops, per_hop_limit)
     keys = materialize(reached.select(F.col("id").alias("paperId"), RECORD_ORDER))
     if archive is not None:
         wanted = ",".join(bare_ids(seeds))
         archive.keep(keys, "ids", {"ids": wanted, "max_hops": max_hops, "per_hop_limit": per_hop_limit})
-    papers = records.join(keys, ["paperId", RECORD_ORDER], "left_semi")
+    near = records.near(keys.select(F.col("paperId").alias("id"))) if stored else records
+    papers = near.join(keys, ["paperId", RECORD_ORDER], "left_semi")
     vertices = materialize(to_vertices(papers))
     return CitationGraph(_kept(vertices, keep_references), _citations_or_star(vertices), closed=True)
 
 
 def publication_graph(
-    records: DataFrame,
+    records: DataFrame | RecordStore,
     publication: str,
     year: int,
     limit: int | None = None,
@@ -130,7 +140,10 @@ def publication_graph(
     two papers give an empty graph."""
     if fallback not in ("pairs", "star"):
         raise ValueError(f"unknown fallback {fallback!r}")
-    found = publication_search(records, publication, year, limit, institution, match)
+    if isinstance(records, RecordStore):
+        found = records.publication_search(publication, year, limit, institution, match)
+    else:
+        found = publication_search(records, publication, year, limit, institution, match)
     if archive is not None:
         found = materialize(found)
         archive.keep(found, f"publication_{publication}_{year}", {"publication": publication, "year": year, "limit": limit})

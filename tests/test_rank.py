@@ -2,9 +2,11 @@ import random
 
 import pytest
 
+from citegraph.operators.cliques import clique_of
 from citegraph.operators.graph import CitationGraph
 from citegraph.operators.rank import author_influence, influence_rank, top_papers
 from citegraph.plans.keys import hashed_index, ordered_index
+from citegraph.sources import adjacency
 
 
 def brute(ids, edges, rounds, reset=0.15, normalized=False):
@@ -107,3 +109,36 @@ def test_authors(make, spark):
     assert len(author_influence(g, ranks, 2).collect()) == 2
     with pytest.raises(ValueError):
         author_influence(CitationGraph(v.drop("authors"), g.edges), ranks)
+
+
+@pytest.mark.parametrize("min_hot_edges", [1_000_000, 3])
+def test_rank_over_a_stored_adjacency(spark, make, tmp_path, min_hot_edges):
+    names = [f"v{i}" for i in range(12)]
+    edges = [(names[i % 12], names[(i * 5 + 1) % 12], 0.5 + i % 3) for i in range(40)] + [("v0", n, 1.0) for n in names[1:]]
+    graph = CitationGraph(make.vertices({n: [] for n in names}), make.edges(edges), closed=True)
+    kept = adjacency.save_adjacency(graph, str(tmp_path), 4, min_hot_edges)
+    assert (kept.hot is not None) == (min_hot_edges == 3)
+    for mode in ("raw", "normalized"):
+        ranks = [{r.id: pytest.approx(r.rank) for r in influence_rank(graph, mode=mode, adjacency=a).collect()} for a in (kept, None)]
+        assert {i: r.expected for i, r in ranks[0].items()} == ranks[1]
+    layout = adjacency.load_adjacency(spark, str(tmp_path)).layout()
+    sums = layout.edges.groupBy("dst").agg({"weight": "sum"}).toDF("src", "s")
+    joined = layout.join_state(sums, "left")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    try:
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    # the edges of the join are scanned in their buckets; only the sums move
+    of_edges = plan[plan.index("SortMergeJoin") :].split("HashAggregate")[0]
+    assert "Bucketed: true" in of_edges and "Exchange" not in of_edges.split("Bucketed: true")[0]
+
+
+def test_an_adjacency_holds_no_cliques(make, tmp_path):
+    vertices = make.vertices({"a": [], "b": []})
+    graph = CitationGraph(vertices, make.edges([]), cliques=clique_of(vertices))
+    with pytest.raises(ValueError):
+        adjacency.save_adjacency(graph, str(tmp_path))
+    with pytest.raises(ValueError):
+        adjacency.load_adjacency(vertices.sparkSession, str(tmp_path))

@@ -1,9 +1,12 @@
 import random
+import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from citegraph.operators import expand, search
 from citegraph.plans import workflows
+from citegraph.sources import record_store
 from conftest import pairs, triples
 
 
@@ -148,3 +151,43 @@ def test_publication_graphs(make):
         ("a", "b"), ("a", "c"), ("b", "a"), ("c", "a"),
     ]
     assert workflows.publication_graph(uncited.limit(1), "v", 2000).vertices.count() == 0
+
+
+def test_a_store_finds_what_the_records_give(make, tmp_path):
+    papers = make.records(ROWS + [("W5", None, ["W1"], 6, 3, None, None, ["I1", None, "I1"]), ("W6", "  deep\u00a0sea  learning", [], 7, 5, 2021, "Nature", [])])
+    store = record_store.save_records(papers, str(tmp_path), 5)
+    rows = lambda df: [tuple(r) for r in df.select(*papers.columns).collect()]
+    for words in ("deep, learning", "ee earn", "DEEP deep", "nothing", "", "sea"):
+        for limit, institution, offset in ((None, None, 0), (2, None, 0), (None, "I1", 0), (2, None, 1), (None, None, 1), (None, "none", 0)):
+            expected = search.keyword_search(papers, words, limit, institution, offset)
+            assert rows(store.keyword_search(words, limit, institution, offset)) == rows(expected), (words, limit, institution, offset)
+    cursor = search.next_cursor(store.keyword_search("deep", 1))
+    assert rows(store.keyword_search("deep", 2, after=cursor)) == rows(search.keyword_search(papers, "deep", 2, after=cursor))
+    for text, year, match in (("nature", 2020, "venue"), ("unknown v", -1, "venue"), ("deep learning", 2020, "title"), ("x", 1999, "venue"), ("", 2021, "title")):
+        expected = search.publication_search(papers, text, year, 3, match=match)
+        assert rows(store.publication_search(text, year, 3, match=match)) == rows(expected), (text, match)
+    with pytest.raises(ValueError):
+        store.publication_search("x", 2020, match="author")
+    some = search.seed_ids(papers.sparkSession, ["https://openalex.org/W2", "W5", "W9"])
+    assert sorted(rows(store.lookup_by_ids(some)), key=str) == sorted(rows(search.lookup_by_ids(papers, some)), key=str)
+    graphs = [workflows.id_graph(p, ["W3"], 2) for p in (store, papers)]
+    assert pairs(graphs[0].edges) == pairs(graphs[1].edges)
+    # a second store replaces the first, which its readers keep until it is dropped
+    again = record_store.save_records(papers.where("paperId = 'W1'"), str(tmp_path), 3)
+    assert ids(again.keyword_search("deep")) == ["W1"] and len(ids(store.keyword_search("deep"))) == 4
+    assert len(record_store.drop_old_records(papers.sparkSession, str(tmp_path), 1)) == 1
+    empty = record_store.save_records(papers.limit(0), str(tmp_path / "empty"), 3)
+    assert ids(empty.keyword_search("deep")) == ids(empty.keyword_search("")) == ids(empty.lookup_by_ids(some)) == []
+
+
+def test_a_store_reads_only_the_buckets_it_needs(make, tmp_path):
+    papers = make.records([(f"W{i}", f"title{i} common", [f"W{i + 1}"], i, i % 7) for i in range(200)])
+    store = record_store.save_records(papers, str(tmp_path), 16)
+    files = lambda df: df.select(F.input_file_name().alias("f")).distinct().count()
+    seeds = search.seed_ids(papers.sparkSession, ["W7", "W8"])
+    assert files(store.near(seeds)) <= 2 < 16 == files(store.records)
+    hits = store.hits(store._words(["title77"]))
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*bucket", plan)
+    assert files(store.postings.where(F.col("bucket").isin(store.terms.where("term = 'title77'").first().bucket))) == 1
+    assert ids(store.keyword_search("title77")) == ["W77"]
