@@ -1,11 +1,14 @@
 """Main text of web pages by a site style tree.
 
 The pages of a host are merged into one tree: a node is a path of block elements with
-their classes, as ``html/body/div.story/p``. Over the different pages of the host, a node
-has the entropy of its presentations (the sequence of blocks that a page has there) and
-the entropy of its contents (what a page says there). Its importance combines the two:
-the more presentations it has, the more they decide; what looks and reads alike on all
-pages is unimportant. Branches of low importance are removed from each page.
+their classes, as ``html/body/div.story/p``, and named by a 64-bit hash along it. Over the
+different pages of the host, a node has the entropy of its presentations (the sequences of
+child elements that a page has there) and, if it has own text, the entropy of its contents
+(what a page says there; numbers inside a text do not count, so page numbers and dates make
+nothing new). The importance of a node combines its presentations and the contents of its
+whole branch: the more presentations it has, the more they decide. What looks and reads
+alike on all pages is unimportant. A node is boilerplate if it and all nodes below it are
+unimportant; its text is removed from each page.
 
 Some branches say by their element, role or class that they are not main text
 (navigation, advert, form, comments ...). Their importance is fixed at 0, since their
@@ -14,10 +17,12 @@ or id counts as a whole, not by a word in it. Class and form alone do not mark a
 that holds the only articles of a page, and words of ordinary use do not mark a branch
 inside an article; there entropy decides.
 
-Pages are read once into blocks, which are written; the tree is then two combined
-aggregations over narrow rows, by host and node, and a join of pages with the nodes of
-their host. Equal pages of a host count once in its tree, so mirrored copies do not make
-their own text look like boilerplate.
+Pages are read once into blocks, which are written; the tree is then combined aggregations
+over narrow rows by node. A branch is summed over rows of a node and each node above
+it, of which there are at most ``DEPTH``: what lies deeper belongs to the last one. Nodes of
+boilerplate are broadcast as sorted numbers while they are counted to be few; else narrow
+rows of pages and nodes are joined with them. Equal pages of a host count once in its tree,
+so mirrored copies do not make their own text look like boilerplate.
 
 Defined results: null and empty html have an empty text; a null url counts as a host of
 its own, the empty one; a node seen on fewer than ``MIN_PAGES`` different pages is kept;
@@ -29,18 +34,21 @@ from __future__ import annotations
 import html
 import re
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citegraph.llm.common import materialize
-from citegraph.plans.materialize import broadcast_if_small
+from citegraph.plans.materialize import BROADCAST_MAX_ROWS
 
 MIN_IMPORTANCE = 0.3
 MIN_PAGES = 4
 #: Weight of contents falls as this power of the number of presentations.
 GAMMA = 0.9
+#: Levels of a tree.
+DEPTH = 64
 
 BLOCK_TAGS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form "
@@ -82,8 +90,12 @@ ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"
 WORDS = re.compile(r"[a-z]+")
 NUMBER = re.compile(r"[-_]?[0-9]+$")
 
-BLOCKS = "array<struct<path:string,text:string>>"
-_KIND = pa.list_(pa.struct([("path", pa.string()), ("text", pa.string())]))
+DIGITS = re.compile(r"[0-9]+")
+
+_BLOCK = [("node", pa.int64()), ("text", pa.string())]
+_NODE = [("node", pa.int64()), ("above", pa.list_(pa.int64())), ("look", pa.int64()), ("says", pa.int64())]
+_BLOCKS = "array<struct<node:bigint,text:string>>"
+_NODES = "array<struct<node:bigint,above:array<bigint>,look:bigint,says:bigint>>"
 
 
 def _signature(tag: str, attributes: str, in_main: bool) -> tuple[str, bool, bool]:
@@ -102,24 +114,31 @@ def _signature(tag: str, attributes: str, in_main: bool) -> tuple[str, bool, boo
     return ".".join([tag, *classes]), noise, weak
 
 
-def read_blocks(page: str | None) -> list[tuple[str, str]]:
-    """Path and text of every block of a page outside the branches marked as noise, in page order."""
+def read_blocks(page: str | None) -> list[tuple[int, str]]:
+    """Node and text of every block of a page outside the branches marked as noise, in page order."""
+    return read_page(page)[0]
+
+
+def read_page(page: str | None, host: str = "") -> tuple[list[tuple[int, str]], dict[int, tuple[tuple[int, ...], list[list[str]]]]]:
+    """The blocks of a page, and by node the nodes from the root to it and the child elements of each of its elements."""
     if not page:
-        return []
-    blocks, spared = _read(page, frozenset())
-    return _read(page, spared)[0] if spared else blocks
+        return [], {}
+    root = xxhash.xxh64_intdigest(host.encode("utf-8", "surrogatepass"))
+    blocks, nodes, spared = _read(page, frozenset(), root)
+    return _read(page, spared, root)[:2] if spared else (blocks, nodes)
 
 
-def _read(page: str, spared: frozenset[int]) -> tuple[list[tuple[str, str]], frozenset[int]]:
-    """Blocks of a page, and where the branches start that hold its only articles and are marked by class or form alone.
+def _read(page: str, spared: frozenset[int], root: int):
+    """Blocks and nodes of a page, and where the branches start that hold its only articles and are marked by class or form alone.
 
     The branches that start at ``spared`` are not marked by class or form.
     """
-    blocks: list[tuple[str, str]] = []
+    nodes: dict[int, tuple[tuple[int, ...], list[list[str]]]] = {root: ((root,), [[]])}
+    blocks: list[tuple[int, str]] = []
     holding: set[int] = set()
     free = False  # an article stands outside of marked branches
-    # tag, signature of a block element or "", noise here, own mark: None, -1, or where it starts if by class or form alone
-    stack: list[tuple[str, str, bool, int | None]] = []
+    # tag, nodes down to here, noise here, own mark: None, -1, or where it starts if by class or form alone
+    stack: list[tuple[str, tuple[int, ...], bool, int | None]] = []
     pending: list[str] = []
     at = 0
 
@@ -127,7 +146,7 @@ def _read(page: str, spared: frozenset[int]) -> tuple[list[tuple[str, str]], fro
         if pending:
             text = " ".join("".join(pending).split())
             if text:
-                blocks.append(("/".join(s for _, s, *_ in stack if s), text))
+                blocks.append((stack[-1][1][-1] if stack else root, text))
             pending.clear()
 
     def close(tags: set[str], scopes: frozenset) -> None:
@@ -175,67 +194,103 @@ def _read(page: str, spared: frozenset[int]) -> tuple[list[tuple[str, str]], fro
                 noise |= weak and m.start() not in spared
                 if noise and tag not in BLOCK_TAGS:
                     flush()
-                stack.append((tag, signature if tag in BLOCK_TAGS else "", noise or bool(stack and stack[-1][2]), mark))
+                noise |= bool(stack and stack[-1][2])
+                above = stack[-1][1] if stack else (root,)
+                if tag in BLOCK_TAGS and not noise and len(above) < DEPTH:
+                    nodes[above[-1]][1][-1].append(signature)
+                    above = (*above, xxhash.xxh64_intdigest(signature.encode("utf-8", "surrogatepass"), seed=above[-1]))
+                    nodes.setdefault(above[-1], (above, []))[1].append([])
+                stack.append((tag, above, noise, mark))
     if at < len(page) and not (stack and stack[-1][2]):
         pending.append(html.unescape(page[at:]))
     flush()
-    return blocks, frozenset(() if free else holding)
+    return blocks, nodes, frozenset(() if free else holding)
 
 
 def parse_pages(pages: DataFrame) -> DataFrame:
-    """``page_id, url, host, blocks, nodes``: blocks in page order, and per node two 64-bit digests.
-
-    ``nodes`` has ``path``, ``look`` (how many blocks of which length class stand there, in order)
-    and ``says`` (their texts).
-    """
-    nodes_kind = pa.list_(pa.struct([("path", pa.string()), ("look", pa.int64()), ("says", pa.int64())]))
-    kind = pa.struct([("blocks", _KIND), ("nodes", nodes_kind)])
-
-    @F.arrow_udf(f"blocks {BLOCKS}, nodes array<struct<path:string,look:bigint,says:bigint>>")
-    def parse(column: pa.Array) -> pa.Array:
+    """``row, page_id, url, host, blocks, nodes``: blocks in page order, and per node the nodes down to
+    it, a digest of how it looks (its child elements) and of what it says (null without own text)."""
+    kind = pa.struct([("blocks", pa.list_(pa.struct(_BLOCK))), ("nodes", pa.list_(pa.struct(_NODE)))])
+    signed = lambda key: key - (1 << 63)
+    digest = lambda parts: signed(xxhash.xxh64_intdigest("\0".join(parts).encode("utf-8", "surrogatepass")))
+    # a text of nothing but numbers is what it says
+    said = lambda text: DIGITS.sub("", text) if any(map(str.isalpha, text)) else text
+
+    @F.arrow_udf(f"blocks {_BLOCKS}, nodes {_NODES}")
+    def parse(column: pa.Array, hosts: pa.Array) -> pa.Array:
         rows = []
-        for page in column:
-            blocks = read_blocks(page.as_py())
-            by_path: dict[str, list[str]] = {}
-            for path, text in blocks:
-                by_path.setdefault(path, []).append(text)
-            digest = lambda parts: xxhash.xxh64_intdigest("\0".join(parts).encode("utf-8", "surrogatepass")) - (1 << 63)
-            nodes = [
-                {"path": p, "look": digest([str(len(t).bit_length()) for t in texts]), "says": digest(texts)}
-                for p, texts in by_path.items()
+        for page, host in zip(column, hosts, strict=True):
+            blocks, nodes = read_page(page.as_py(), host.as_py())
+            says: dict[int, list[str]] = {}
+            for node, text in blocks:
+                says.setdefault(node, []).append(said(text))
+            found = [
+                {
+                    "node": signed(node),
+                    "above": [signed(a) for a in above],
+                    "look": digest(["\1".join(children) for children in looks]),
+                    "says": digest(says[node]) if node in says else None,
+                }
+                for node, (above, looks) in nodes.items()
             ]
-            rows.append({"blocks": [{"path": p, "text": t} for p, t in blocks], "nodes": nodes})
+            rows.append({"blocks": [{"node": signed(n), "text": t} for n, t in blocks], "nodes": found})
         return pa.array(rows, kind)
 
     host = F.lower(F.coalesce(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
-    read = pages.select("page_id", "url", host.alias("host"), parse(F.col("html")).alias("_page"))
-    return read.select("page_id", "url", "host", "_page.blocks", "_page.nodes")
+    read = pages.select("page_id", "url", "html", host.alias("host"))
+    read = read.select("page_id", "url", "host", parse(F.col("html"), F.col("host")).alias("_page"))
+    return read.select(F.monotonically_increasing_id().alias("row"), "page_id", "url", "host", "_page.blocks", "_page.nodes")
 
 
 def node_importance(parsed: DataFrame) -> DataFrame:
-    """``host, path, pages, importance`` over the different pages of each host."""
+    """``node, above, pages, importance`` of the nodes of all trees, over the different pages of each host."""
     different = parsed.groupBy("host", "nodes").agg(F.lit(1).alias("_one"))
-    rows = different.select("host", F.inline("nodes"))
+    rows = different.select(F.inline("nodes"))
 
     def entropy(column: str) -> DataFrame:
-        counts = rows.groupBy("host", "path", column).agg(F.count("*").alias("n"))
-        sums = counts.groupBy("host", "path").agg(
-            F.sum("n").alias("pages"), F.count("*").alias("kinds"), F.sum(F.col("n") * F.log("n")).alias("s")
+        counts = rows.where(F.col(column).isNotNull()).groupBy("node", column).agg(F.count("*").alias("n"), F.any_value("above").alias("above"))
+        sums = counts.groupBy("node").agg(
+            F.any_value("above").alias("above"), F.sum("n").alias("pages"), F.count("*").alias("kinds"), F.sum(F.col("n") * F.log("n")).alias("s")
         )
         even = F.log("pages") - F.col("s") / F.col("pages")
-        return sums.select("host", "path", "pages", "kinds", F.when(F.col("pages") > 1, even / F.log("pages")).otherwise(1.0).alias(column))
+        return sums.select("node", "above", "pages", "kinds", F.when(F.col("pages") > 1, even / F.log("pages")).otherwise(1.0).alias(column))
 
+    says = entropy("says").select(F.explode("above").alias("node"), "pages", "says")
+    inside = says.groupBy("node").agg((F.sum(F.col("pages") * F.col("says")) / F.sum("pages")).alias("inside"))
     weight = F.pow(F.lit(GAMMA), "kinds")
-    both = entropy("look").join(entropy("says").drop("pages", "kinds"), ["host", "path"])
-    return both.select("host", "path", "pages", ((1 - weight) * F.col("look") + weight * F.col("says")).alias("importance"))
+    importance = (1 - weight) * F.col("look") + weight * F.coalesce("inside", F.lit(0.0))
+    return entropy("look").join(inside, "node", "left").select("node", "above", "pages", importance.alias("importance"))
+
+
+def boilerplate(importance: DataFrame) -> DataFrame:
+    """``node`` of what is unimportant and has only unimportant nodes below it."""
+    low = (F.col("pages") >= MIN_PAGES) & (F.col("importance") < MIN_IMPORTANCE)
+    branches = importance.select(F.explode("above").alias("node"), low.alias("low"))
+    return branches.groupBy("node").agg(F.bool_and("low").alias("low")).where("low").select("node")
 
 
 def main_text(pages: DataFrame) -> DataFrame:
     """``page_id, url, text`` of every row of ``pages`` (``page_id, url, html``)."""
     parsed = materialize(parse_pages(pages))
-    low = node_importance(parsed).where((F.col("pages") >= MIN_PAGES) & (F.col("importance") < MIN_IMPORTANCE))
-    removed = materialize(low.groupBy("host").agg(F.collect_set("path").alias("removed")))
-    rows = parsed.drop("nodes").join(broadcast_if_small(removed, 10_000), "host", "left")
-    kept = F.filter("blocks", lambda b: F.col("removed").isNull() | ~F.array_contains("removed", b["path"]))
+    removed = materialize(boilerplate(node_importance(parsed)))
+    rows = parsed.drop("nodes")
+    if removed.count() <= BROADCAST_MAX_ROWS:
+        shared = pages.sparkSession.sparkContext.broadcast(np.sort(removed.toArrow().column("node").to_numpy()))
+
+        @F.arrow_udf("array<boolean>")
+        def stays(nodes: pa.Array) -> pa.Array:
+            flat, known = nodes.flatten().to_numpy(), shared.value
+            at = np.searchsorted(known, flat)
+            gone = np.append(known, 0)[at] == flat if len(known) else np.zeros(len(flat), np.bool_)
+            gone &= at < len(known)
+            offsets = nodes.offsets.to_numpy()
+            return pa.ListArray.from_arrays(pa.array(offsets - offsets[0]), pa.array(~gone))
+
+        rows = rows.withColumn("_stays", stays(F.col("blocks.node")))
+        kept = F.filter("blocks", lambda b, i: F.get("_stays", i))
+    else:
+        gone = rows.select("row", F.explode(F.array_distinct("blocks.node")).alias("node")).join(removed, "node", "left_semi")
+        rows = rows.join(gone.groupBy("row").agg(F.collect_set("node").alias("_gone")), "row", "left")
+        kept = F.filter("blocks", lambda b: F.col("_gone").isNull() | ~F.array_contains("_gone", b["node"]))
     text = F.array_join(F.transform(kept, lambda b: b["text"]), " ")
     return rows.select("page_id", "url", text.alias("text"))

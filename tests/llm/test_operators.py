@@ -222,6 +222,59 @@ def test_repeated_unmarked_branches_are_removed(spark):
     assert found[100] == "Menu one Story 1 of its own"  # one page, however often it is there
 
 
+@pytest.mark.parametrize("most", [site_tree.BROADCAST_MAX_ROWS, 0])
+def test_boilerplate_that_no_list_names(spark, monkeypatch, most):
+    """Thirty pages with a bar and links under classes that say nothing, and page numbers in both."""
+    monkeypatch.setattr(site_tree, "BROADCAST_MAX_ROWS", most)
+    words = "amber birch cedar delta ember fjord grove heath islet jetty".split()
+    body = "<div class='topbar'>Page {0} of 30<p>Our <b>shop</b> {0}</p></div><div class='story'><h1>{1}</h1>{2}<p>2024</p><p class='n'>{0}</p></div><ul class='foot-links'><li>Page {0}<li>About us</ul>"
+    own = np.random.default_rng(1)
+    rows, said = [], {}
+    for i in range(30):
+        told = [" ".join(own.choice(words, 8)) for _ in range(2 + i % 4)]
+        rows.append((i, "http://h.example/x", body.format(i, told[0], "".join(f"<p>{t}</p>" for t in told[1:]))))
+        said[i] = " ".join([*told, "2024", str(i)])
+    rows += [(100 + i, f"http://other{i}.example/", "<div class='topbar'>Page 1 of 30</div>") for i in range(9)]
+    rows += [(200, None, None), (201, "", "")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    found = {r.page_id: r.text for r in site_tree.main_text(pages).collect()}
+    assert len(found) == len(rows)
+    for i, text in said.items():
+        assert found[i] == text
+    # one page of a host is no boilerplate
+    assert all(found[100 + i] == "Page 1 of 30" for i in range(9)) and found[200] == found[201] == ""
+
+
+def test_importance_is_that_of_a_plain_tree(spark):
+    from collections import Counter
+    from math import log
+
+    body = "<div><p>same</p>{0}</div><section>{1}<p>tail</p></section>"
+    pages = [body.format("<p>x</p>" * (i % 2), f"word{'abcdef'[i]}") for i in range(6)]
+    rows = spark.createDataFrame([(i, "http://h/", p) for i, p in enumerate(pages)], "page_id int, url string, html string")
+    found = sorted(round(r.importance, 9) for r in site_tree.node_importance(site_tree.parse_pages(rows)).collect())
+    even = lambda seen: (log(len(seen)) - sum(n * log(n) for n in Counter(seen).values()) / len(seen)) / log(len(seen))
+    mixed = lambda looks, inside: (1 - site_tree.GAMMA ** len(set(looks))) * even(looks) + site_tree.GAMMA ** len(set(looks)) * inside
+    half = [i % 2 for i in range(6)]  # pages with a second p in the div
+    contents = {"div/p": even(half), "section": even(range(6)), "section/p": 0.0}
+    inside = lambda *of: sum(contents[c] for c in of) / len(of)
+    expected = [
+        mixed([0] * 6, inside(*contents)),  # the root holds a div and a section
+        mixed(half, inside("div/p")),
+        mixed(half, contents["div/p"]),
+        mixed([0] * 6, inside("section", "section/p")),
+        mixed([0] * 6, contents["section/p"]),
+    ]
+    assert found == sorted(round(e, 9) for e in expected)
+
+
+def test_deep_pages_have_bounded_trees():
+    page = "".join(f"<div>{i} a" for i in range(5000))
+    blocks, nodes = site_tree.read_page(page)
+    assert [t for _, t in blocks] == [f"{i} a" for i in range(5000)]
+    assert len(nodes) == site_tree.DEPTH and max(len(above) for above, _ in nodes.values()) == site_tree.DEPTH
+
+
 def test_blocks_of_a_page():
     read = lambda page: [t for _, t in site_tree.read_blocks(page)]
     assert read("<p>a<b>b</b>c<p>d<br>e") == ["abc", "d e"]
