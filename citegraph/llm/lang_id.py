@@ -115,10 +115,18 @@ def softmax(s: np.ndarray) -> np.ndarray:
 
 
 def fit_temperature(scores: np.ndarray, labels: np.ndarray) -> float:
-    """The temperature of least log-loss, by golden section on its logarithm."""
-    if not len(labels):
+    """The temperature of least log-loss, by golden section on its logarithm.
+
+    One more text than the ``n`` given is taken to have another label, as a share of each text's
+    target. Without it, texts that are all told rightly would have the temperature fall to
+    its least value and every score be 1.
+    """
+    n, k = scores.shape
+    if not n or k < 2:
         return 1.0
-    loss = lambda t: -np.log(softmax(scores / np.exp(t))[np.arange(len(labels)), labels] + 1e-300).mean()
+    target = np.full((n, k), 1 / (n + 1) / (k - 1))
+    target[np.arange(n), labels] = n / (n + 1)
+    loss = lambda t: -(target * np.log(softmax(scores / np.exp(t)) + 1e-300)).sum(1).mean()
     low, high, ratio = -4.0, 3.0, (5**0.5 - 1) / 2
     while high - low > 1e-3:
         a, b = high - ratio * (high - low), low + ratio * (high - low)

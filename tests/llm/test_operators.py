@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from citegraph.llm import byte_bpe, chat, near_dups, packing, rotated_codes, secrets, site_tree, toxicity
+from citegraph.llm import byte_bpe, chat, lang_id, near_dups, packing, rotated_codes, secrets, site_tree, toxicity
 
 RANKS = byte_bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
@@ -316,6 +316,57 @@ def test_related_tails_share_windows():
     assert {i % 3 for i, *_ in sequences[0][:3]} == {0}
 
 
+def test_temperature_keeps_scores_of_separable_texts_apart():
+    own = np.random.default_rng(8)
+    labels = own.integers(0, 3, 200)
+    scores = np.eye(3)[labels] * own.uniform(0.5, 3, 200)[:, None]
+    t = lang_id.fit_temperature(scores, labels)
+    sure = lang_id.softmax(scores / t).max(1)
+    assert 0.02 < t < 1 and (scores.argmax(1) == labels).all() and len(set(sure)) == 200 and sure.max() < 1
+    # overconfident scores with every fifth label wrong are cooled
+    wrong = np.where(np.arange(200) % 5 == 0, (labels + 1) % 3, labels)
+    assert lang_id.fit_temperature(np.eye(3)[labels] * 10, wrong) > 2
+    assert lang_id.fit_temperature(np.empty((0, 3)), np.empty(0, np.int64)) == 1.0 == lang_id.fit_temperature(np.zeros((4, 1)), np.zeros(4, np.int64))
+
+
+def test_follow_the_leader_is_the_plain_rule():
+    """The per-coordinate sums of gradients and their closed-form weights, one coordinate at a time."""
+    own, k = np.random.default_rng(9), 3
+    model, z, n = lang_id.FollowTheLeader(k), {}, {}
+
+    def weight(at, c):
+        held = z.get((at, c), 0.0)
+        if abs(held) <= lang_id.L1:
+            return 0.0
+        return -(held - np.sign(held) * lang_id.L1) / ((lang_id.BETA + n.get((at, c), 0.0) ** 0.5) / lang_id.ALPHA + lang_id.L2)
+
+    for _ in range(40):
+        slots = own.choice(12, 4, replace=False)
+        x, label = own.uniform(0, 1, 4), int(own.integers(k))
+        model.learn(slots, x, label)
+        at, value = [*slots.tolist(), lang_id.SLOTS], [*x.tolist(), 1.0]
+        raw = [np.exp(sum(v * weight(a, c) for a, v in zip(at, value, strict=True))) for c in range(k)]
+        steps = []
+        for a, v in zip(at, value, strict=True):
+            for c in range(k):
+                g = v * (raw[c] / sum(raw) - (c == label))
+                before = n.get((a, c), 0.0)
+                steps.append((a, c, g - ((before + g * g) ** 0.5 - before**0.5) / lang_id.ALPHA * weight(a, c), g * g))
+        for a, c, dz, dn in steps:
+            z[a, c], n[a, c] = z.get((a, c), 0.0) + dz, n.get((a, c), 0.0) + dn
+    for a in [*range(12), lang_id.SLOTS]:
+        assert model.weights(a) == pytest.approx([weight(a, c) for c in range(k)])
+
+
+def test_document_frequencies_count_texts(spark):
+    from collections import Counter
+
+    texts = ["the day was warm", "warm warm", "", None, "día de niñas", "the day was warm"]
+    found, n = lang_id.document_frequencies(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3))
+    plain = Counter(int(s) for t in texts for s in set(lang_id.gram_counts(t or "")[0].tolist()))
+    assert n == len(texts) and {int(s): int(found[s]) for s in np.flatnonzero(found)} == plain
+
+
 def test_sequences_of_letters():
     codes = toxicity.sequences("Ab, c")
     bits, mask = toxicity.BITS, (1 << toxicity.BITS) - 1
