@@ -62,8 +62,10 @@ def drop_old_versions(spark: SparkSession, log: str, tables: list[str], keep: in
     commits = _commits(spark, log)
     if commits is None:
         return []
-    # one row per save of this set of tables
-    rows = commits.orderBy(F.col("number").desc(), F.col("version").desc()).offset(keep).collect()
+    # the driver gets the names of the saves of this set of tables, whose folders it deletes
+    named = F.array_sort(F.collect_list(F.struct("number", "version")))
+    rows = F.slice(F.reverse(named), keep + 1, F.greatest(F.size(named), F.lit(1)))
+    rows = commits.agg(rows.alias("rows")).first().rows
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     dropped = []
     for row in rows:

@@ -185,8 +185,9 @@ def read_archives(
 ) -> DataFrame:
     """Raw works of the archives that ``archives`` finds; only their files are listed and read.
     Records are ordered by path, so those of one query by the time they were saved."""
-    # one row per archive, as a listing of the folder would give
-    found = archives(spark, folder, query_name, since, until).orderBy("saved_at", "path").collect()
+    # the driver gets the names of the archives' folders, as a listing of the folder would give, and no other rows
+    found = archives(spark, folder, query_name, since, until)
+    found = found.agg(F.array_sort(F.collect_list(F.struct("saved_at", "path"))).alias("found")).first().found
     if not found:
         return spark.createDataFrame([], T.StructType([*RAW_WORK.fields, T.StructField(RECORD_ORDER, T.LongType())]))
     return read_archive(spark, [r.path for r in found])
