@@ -120,3 +120,23 @@ def test_one_id_with_a_third_of_all_records(spark, make):
     kept = dedupe.keep_last(records)
     assert kept.count() == 2001
     assert kept.filter("paperId = 'hot'").first().record_seq == 2997
+
+
+def test_ordered_json_files_grow_in_number_not_in_size(spark, tmp_path, monkeypatch):
+    from checks import queries as Q
+    from pyspark.sql import types as T
+
+    from citegraph.sources.schemas import RAW_WORK
+
+    blank = {f.name: None for f in RAW_WORK.fields}
+    rows = [{**blank, "id": f"W{i % 40}", "title": f"t{i}", "record_seq": i} for i in range(90)]
+    fields = [*RAW_WORK.fields, T.StructField("record_seq", T.LongType())]
+    raw = spark.createDataFrame(rows, T.StructType(fields))
+    monkeypatch.setattr(Q, "raw_works", lambda *_: raw)
+    monkeypatch.setattr(Q, "RECORDS_PER_FILE", 10)
+    monkeypatch.setattr(Q, "checkpoint_dir", lambda _: str(tmp_path))
+    last = {r.paper_id: r.title for r in Q.json_last_wins(spark, "").collect()}
+    first = {r.paper_id: r.title for r in Q.json_first_wins(spark, "").collect()}
+    assert last == {f"W{i % 40}": f"t{i}" for i in range(90)}
+    assert first == {f"W{i}": f"t{i}" for i in range(40)}
+    assert all(len(list(d.glob("part-*.json"))) == 9 for d in tmp_path.glob("works-*"))
