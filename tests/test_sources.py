@@ -1,5 +1,6 @@
 import glob
 import json
+from collections import Counter
 from datetime import datetime
 
 import pytest
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 
 from citegraph.operators.graph import CitationGraph
 from citegraph.operators.normalize import normalize_works
-from citegraph.sources import graph_store, works
+from citegraph.sources import graph_store, tables, works
 from citegraph.sources.schemas import EDGE, VERTEX
 from conftest import pairs
 
@@ -182,3 +183,36 @@ def test_records_of_several_files_keep_their_order(spark, tmp_path):
     assert records.select("record_seq").distinct().count() == records.count()
     title = lambda papers: papers.filter("paperId = 'W1'").first().title
     assert (title(keep_first(records)), title(keep_last(records))) == ("old", "newest")
+
+
+def _tables(spark, folder, orders, lines):
+    every = {
+        "lineitem": (lines, "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int"),
+        "orders": (orders, "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp"),
+        "customer": ([(1, 0)], "c_custkey bigint, c_nationkey int"),
+        "nation": ([(0, 0)], "n_nationkey int, n_regionkey int"),
+        "part": ([(k, f"red gear {k}", "TIN", "Brand#1", k) for k in range(1, 40)], "p_partkey bigint, p_name string, p_type string, p_brand string, p_size int"),
+    }
+    for name, (rows, ddl) in every.items():
+        spark.createDataFrame(rows, ddl).write.parquet(f"{folder}/{name}.parquet")
+
+
+def test_works_of_orders_without_lines_with_many_and_with_null_keys(spark, tmp_path):
+    """Every line of a known order is in one work, an order without lines is one, blocks without lines are none."""
+    many = [(2, 4, 5, 1)] * 20 + [(2, None, 5, 1)]
+    _tables(spark, tmp_path, [(1, 1, None), (2, 1, None), (3, 1, None), (None, 1, None)], [(1, 4, 6, 2), *many, (None, 9, 9, 1)])
+    works = tables.works_from_tables(spark, str(tmp_path)).where(
+        F.col("record_seq").isNull() | (F.col("record_seq") % tables.BLOCK_OFFSET < tables.SECOND_RECORD_OFFSET)
+    )
+    # order 2 has 21 lines, so three blocks: all lines but one fall into the same, and that one has no part
+    block = (4 * 31 + 5 * 7 + 1) % 3
+    found = Counter((r.record_seq, r.n) for r in works.select("record_seq", F.size(F.coalesce("authorships", F.array())).alias("n")).collect())
+    assert found == Counter([(1, 1), (2 + block * tables.BLOCK_OFFSET, 1), (2, 1), (3, 0), (None, 0)])
+
+
+def test_lines_move_as_lines(spark, tmp_path):
+    """Sets of a few lines are larger than the lines, so nothing is collected before the shuffle."""
+    _tables(spark, tmp_path, [(1, 1, None)], [(1, 4, 6, 2)])
+    plan = tables.works_from_tables(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    final, partial = plan.index("[min(l_partkey"), plan.index("partial_collect_set")
+    assert "Exchange" not in plan[final:partial] and "Exchange" in plan[partial:]
