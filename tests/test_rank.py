@@ -142,3 +142,24 @@ def test_an_adjacency_holds_no_cliques(make, tmp_path):
         adjacency.save_adjacency(graph, str(tmp_path))
     with pytest.raises(ValueError):
         adjacency.load_adjacency(vertices.sparkSession, str(tmp_path))
+
+
+def test_sources_are_counted_one_by_one_only_where_a_group_is_large(spark, make, monkeypatch):
+    from citegraph.plans import layout
+
+    counted, real = [], layout._total_and_largest
+    monkeypatch.setattr(layout, "_total_and_largest", lambda *a: counted.append(real(*a)) or counted[-1])
+    edges = make.edges([("h", f"v{i}") for i in range(40)] + [(f"v{i}", "h") for i in range(40)])
+    calm = layout.place_by_source(edges, min_hot_edges=1000)
+    assert calm.hot is None and len(counted) == 1 and counted[0][0] == 80
+    calm.release()
+    hot = layout.place_by_source(edges, min_hot_edges=20)
+    assert [r.src for r in hot.hot.collect()] == ["h"] and len(counted) == 3
+    assert hot.edges.count() == 80
+    hot.release()
+
+
+def test_ranks_of_hashed_keys_leave_out_a_vertex_without_id(spark, make):
+    graph = CitationGraph(make.vertices({"a": [], "b": [], None: []}), make.edges([("a", "b")]), closed=True)
+    found = {r.id: (r["rank"], r.title) for r in influence_rank(graph, rounds=1).collect()}
+    assert found == {"a": (0.15, "title a"), "b": (pytest.approx(1.0), "title b")}
