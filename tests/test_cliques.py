@@ -140,3 +140,9 @@ def test_rank_of_repeated_members_and_of_vertices_outside(spark, make):
     found = {r.id: r["rank"] for r in influence_rank(graph, rounds=1).collect()}
     # each row of a member receives the total of 3 without its own part of 1
     assert found == pytest.approx({"a": 0.15 + 0.85 * 2, "b": 0.15 + 0.85 * 4, "c": 0.15 + 0.85})
+
+
+def test_rank_over_cliques_with_hot_sources(both):
+    """Sources spread over salts read the same sums as the members of cliques."""
+    found = {r.id: r["rank"] for r in influence_rank(both[0], rounds=5, min_hot_edges=1).collect()}
+    assert found == pytest.approx({r.id: r["rank"] for r in influence_rank(both[1], rounds=5).collect()})
