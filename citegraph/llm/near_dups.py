@@ -55,6 +55,8 @@ SURE = 0.88
 PERCENT = 80
 #: At most so many linear rounds before the complete one.
 ROUNDS = 2
+#: Words whose hashes a task remembers, about 200 bytes each.
+REMEMBERED_WORDS = 50_000
 
 _SEEDS = np.random.default_rng(2024)
 _MULTIPLY = _SEEDS.integers(1, 1 << 32, HASHES, dtype=np.uint32) | np.uint32(1)
@@ -65,10 +67,10 @@ _WORD_FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E37
 
 
 class _WordHashes(dict):
-    """64-bit hashes of the words of a task, remembered."""
+    """64-bit hashes of the words of a task, the last ``REMEMBERED_WORDS`` of them at most remembered."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) >= REMEMBERED_WORDS:
             self.clear()
         self[word] = made = xxhash.xxh64_intdigest(word)
         return made

@@ -6,6 +6,8 @@ Parquet and read again as the next one's ``docs``. All but the last return the c
 
 Defined results: a stage handles null and empty texts as its operator does; of repeated
 rows near-duplicates keep one; an empty table gives an empty result.
+
+The stages share executors, so they bound the session's Arrow batches (``small_batches``).
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citegraph.llm import lang_id, near_dups, packing, quality, secrets
-from citegraph.llm.common import materialize, prefixed, table
+from citegraph.llm.common import materialize, prefixed, small_batches, table
 from citegraph.llm.queries import VOCABULARY
 from citegraph.plans.materialize import broadcast_if_small, checkpoint_dir
 
@@ -32,6 +34,7 @@ def shielded(stage):
 
     @functools.wraps(stage)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        small_batches(spark)
         names = {c: c if c in COLUMNS else f"extra_{n}" for n, c in enumerate(docs.columns)}
         out = stage(spark, docs.select(*(docs[c].alias(name) for c, name in names.items())), sf_dir)
         return out.select(*(out[name].alias(c) for c, name in names.items()))
@@ -79,6 +82,7 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs the documents into sequences of 1024 ids."""
+    small_batches(spark)
     return packing.pack(prefixed(docs, "doc_id", "text"), public_tokenizers.path(VOCABULARY))
 
 
