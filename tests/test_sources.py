@@ -6,6 +6,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from checks import queries
 from citegraph.operators.graph import CitationGraph
 from citegraph.operators.normalize import normalize_works
 from citegraph.sources import graph_store, tables, works
@@ -216,3 +217,14 @@ def test_lines_move_as_lines(spark, tmp_path):
     plan = tables.works_from_tables(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
     final, partial = plan.index("[min(l_partkey"), plan.index("partial_collect_set")
     assert "Exchange" not in plan[final:partial] and "Exchange" in plan[partial:]
+
+
+def test_records_of_tables_need_no_written_raw_works(spark, tmp_path):
+    folder = str(tmp_path)
+    _tables(spark, tmp_path, [(1, 1, None), (2, 2, None), (3, None, None)], [(1, 1, 1, 1), (1, 2, 1, 2), (2, 1, 2, 1)])
+    records = queries.records(spark, folder)
+    assert (spark.sparkContext.applicationId, folder, "raw_works") not in queries._shared
+    expected = normalize_works(queries.raw_works(spark, folder))
+    assert records.dtypes == expected.dtypes
+    assert sorted(records.collect(), key=str) == sorted(expected.collect(), key=str) and not records.isEmpty()
+    assert queries.weighted(spark, folder).edges.inputFiles() == queries.graph(spark, folder).edges.inputFiles()
