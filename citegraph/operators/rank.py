@@ -156,7 +156,8 @@ def author_influence(graph: CitationGraph, ranks: DataFrame, top_n: int | None =
     """
     if "authors" not in graph.vertices.columns:
         raise ValueError("the vertices have no authors column")
-    listed = F.array_sort("authors")
+    # sorted before, in a projection of its own: inside the lambda it would be sorted once per author
+    listed = F.col("_listed")
     marked = F.transform(
         listed,
         lambda a, i: F.struct(
@@ -166,9 +167,11 @@ def author_influence(graph: CitationGraph, ranks: DataFrame, top_n: int | None =
         ),
     )
     scores = (
-        graph.vertices.select("id", marked.alias("marked"))
+        graph.vertices.select("id", F.array_sort("authors").alias("_listed"))
+        .select("id", marked.alias("marked"))
         .join(ranks.select("id", "rank"), "id")
-        .select("rank", F.inline("marked"))
+        # outer, since the filter that is inferred from a plain one would mark the authors a second time
+        .select("rank", F.inline_outer("marked"))
         .filter(F.col("authorId") != "")
         .groupBy("authorId", "authorName")
         .agg(F.sum("rank").alias("influenceScore"), F.sum("first").alias("paperCount"))

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from citegraph.operators.cliques import clique_of
 from citegraph.operators.graph import CitationGraph
@@ -111,6 +112,14 @@ def test_authors(make, spark):
         author_influence(CitationGraph(v.drop("authors"), g.edges), ranks)
 
 
+def test_authors_of_a_paper_are_sorted_once(make):
+    v = make.vertices({"a": []}, authors={"a": [("A2", "y"), ("A1", "x"), ("A2", "y")]})
+    ranks = v.select("id", F.lit(2.0).alias("rank"))
+    scores = author_influence(CitationGraph(v, make.edges([])), ranks)
+    assert [tuple(r) for r in scores.collect()] == [("A2", "y", 4.0, 1), ("A1", "x", 2.0, 1)]
+    assert scores._jdf.queryExecution().optimizedPlan().toString().count("array_sort(") == 1
+
+
 @pytest.mark.parametrize("min_hot_edges", [1_000_000, 3])
 def test_rank_over_a_stored_adjacency(spark, make, tmp_path, min_hot_edges):
     names = [f"v{i}" for i in range(12)]
