@@ -1,17 +1,25 @@
+import os
 import pathlib
 import re
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 import checks.queries as Q
 from checks.queries import QUERIES
 from citegraph.operators import rank
+from citegraph.operators.communities import _votes_per_pair, label_propagation
 from citegraph.operators.dedupe import keep_last
 from citegraph.operators.edges import citation_edges
+from citegraph.operators.graph import CitationGraph
+from citegraph.operators.louvain import louvain_one_sweep
 from citegraph.operators.normalize import normalize_works
+from citegraph.operators.rank import _shares, _shares_by_join, influence_rank
 from citegraph.operators.search import keyword_search
 from citegraph.plans.layout import place_by_source
-from citegraph.plans.materialize import checkpoint_dir, materialize
+from citegraph.plans.materialize import DROP_SHUFFLES, WRITTEN, checkpoint_dir, checkpointed, discard, materialize
+from citegraph.sources.adjacency import save_adjacency
 from citegraph.sources.works import read_works
 
 SF = "/root/testdata/sf0.001"
@@ -103,3 +111,82 @@ def test_nothing_is_collected_beyond_bounded_rows():
         text = path.read_text()
         assert not re.search(r"\.collect\(|\.toPandas\(|\.toLocalIterator\(|localCheckpoint|crossJoin|\.rdd\b", text), path
         assert not re.search(r"pandas_udf|applyInPandas|mapInPandas|F\.udf", text), path
+
+
+def _shuffle_files(spark) -> set[str]:
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+@pytest.mark.parametrize("write", [materialize, checkpointed])
+def test_a_written_state_leaves_no_shuffle_files(spark, write):
+    before = _shuffle_files(spark)
+    kept = write(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.count("*").alias("n")))
+    for _ in range(50):  # they are removed behind the back of the job
+        if not _shuffle_files(spark) - before:
+            break
+        time.sleep(0.2)
+    assert not _shuffle_files(spark) - before
+    assert kept.agg(F.sum("n")).first()[0] == 1000
+    assert spark.conf.get(DROP_SHUFFLES) == "false"
+
+
+def _folders(spark) -> set[str]:
+    folder = checkpoint_dir(spark).removeprefix("file:")
+    return {f for f in os.listdir(folder) if f.startswith(WRITTEN)}
+
+
+def test_intermediate_tables_are_deleted(spark, make, tmp_path):
+    ids = [f"p{i}" for i in range(12)]
+    pairs = [(a, b) for i, a in enumerate(ids) for b in ids[i + 1 :: 3]]
+    graph = CitationGraph(make.vertices({i: [] for i in ids}), make.edges(pairs), closed=True)
+    for work, left in (
+        (lambda: label_propagation(graph), 1),
+        (lambda: louvain_one_sweep(graph), 1),
+        (lambda: influence_rank(graph, mode="normalized"), 1),
+        (lambda: save_adjacency(graph, str(tmp_path / "adjacency")), 0),
+    ):
+        before = _folders(spark)
+        result = work()
+        assert len(_folders(spark) - before) == left
+        assert left == 0 or result.count() == len(ids)
+
+
+def test_only_written_tables_are_deleted(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "mine"))
+    kept = materialize(spark.range(3))
+    for table in (spark.read.parquet(str(tmp_path / "mine")), kept.unionByName(materialize(spark.range(3)))):
+        with pytest.raises(ValueError):
+            discard(table)
+    assert os.path.exists(tmp_path / "mine") and kept.count() == 3
+
+
+@pytest.mark.parametrize("min_hot", [1, 10**6])
+def test_pairs_are_combined_where_they_are_placed(spark, min_hot):
+    """One row per pair, for hot sources too, though the edges move once only."""
+    edges = spark.range(40).select((F.col("id") % 3).alias("src"), (F.col("id") % 4).alias("dst"))
+    layout = place_by_source(edges, min_hot_edges=min_hot, broadcast_max_rows=0, in_place=_votes_per_pair)
+    assert (layout.hot is not None) == (min_hot == 1)
+    assert sorted((r.src, r.dst, r.n) for r in layout.edges.select("src", "dst", "n").collect()) == sorted(
+        (r.src, r.dst, r.n) for r in _votes_per_pair(edges).collect()
+    )
+    layout.release()
+
+
+@pytest.mark.parametrize("min_hot", [1, 10**6])
+def test_shares_are_those_of_the_join(spark, min_hot):
+    edges = spark.range(60).select((F.col("id") % 7).alias("src"), F.col("id").alias("dst"), (1.0 + F.col("id") % 4).alias("weight"))
+    layout = place_by_source(edges, min_hot_edges=min_hot, broadcast_max_rows=0, in_place=_shares, before=_shares_by_join)
+    got = {(r.src, r.dst): r.weight for r in layout.edges.collect()}
+    assert got == pytest.approx({(r.src, r.dst): r.weight for r in _shares_by_join(edges).collect()})
+    layout.release()
+
+
+@pytest.mark.parametrize("query", ["json_last_wins", "json_first_wins"])
+def test_ordered_json_files_are_compressed(spark, query):
+    folder = checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    assert QUERIES[query](spark, SF).count() > 0
+    (path,) = [f for f in set(os.listdir(folder)) - before if f.startswith("works-")]
+    parts = [f for f in os.listdir(f"{folder}/{path}") if f.startswith("part-")]
+    assert parts and all(f.endswith(".json.gz") for f in parts)
